@@ -1,0 +1,85 @@
+"""Equi-joins that stay even when one key holds a large share of the rows."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A key is hot from this share of the rows on, so there can be at most 1 / HOT_SHARE hot keys.
+HOT_SHARE = 0.001
+SALTS = 64
+# Rows up to which a stored lookup table is broadcast.
+BROADCAST_ROWS = 200_000
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
+    """Keys that hold at least the given share of the rows, never more than ``1 / share``.
+
+    Counts combine before the shuffle, so a hot key costs one row per task.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg((F.sum("_n") * F.lit(share)).alias("t")).scalar()
+    return counts.filter((F.col("_n") >= total) & (F.col("_n") > 1)).select(*keys)
+
+
+def salted_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    how: str = "inner",
+    salt_by: Sequence[str] | None = None,
+    salts: int = SALTS,
+    share: float = HOT_SHARE,
+) -> DataFrame:
+    """Join whose left side may be skewed on the key.
+
+    Rows of hot left keys get one of ``salts`` numbers and the right rows of those keys are
+    repeated once per number; every other row keeps number 0. The list of hot keys is bounded by
+    ``1 / share`` rows, which is what makes it safe to broadcast. The left side is shuffled once.
+    The number is a hash of ``salt_by`` (all columns by default), so a task that runs again after
+    a lost executor sends its rows to the same places.
+    """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"unsupported join type {how}")
+    on = list(on)
+    hot = hot_keys(left, on, share).withColumn("_hot", F.lit(True))
+    salt = F.pmod(F.xxhash64(*(salt_by or left.columns)), F.lit(salts)).cast("int")
+    l_side = (
+        left.join(F.broadcast(hot), on, "left")
+        .withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0)))
+        .drop("_hot")
+    )
+    r_side = (
+        right.join(F.broadcast(hot), on, "left")
+        .withColumn(
+            "_salt",
+            F.explode(
+                F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
+                .otherwise(F.array(F.lit(0)))
+            ),
+        )
+        .drop("_hot")
+    )
+    return l_side.join(r_side, [*on, "_salt"], how).drop("_salt")
+
+
+def fits(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a table has at most ``rows`` rows; reads no more than that many."""
+    return df.select(F.lit(1)).limit(rows + 1).count() <= rows
+
+
+def lookup_join(
+    facts: DataFrame,
+    table: DataFrame,
+    on: Sequence[str],
+    how: str = "inner",
+    salt_by: Sequence[str] | None = None,
+    rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """Join to a stored lookup table: broadcast where its row count has been checked to be
+    small, otherwise the salted shuffle join."""
+    if fits(table, rows):
+        return facts.join(F.broadcast(table), list(on), how)
+    return salted_join(facts, table, on, how, salt_by)
