@@ -54,7 +54,8 @@ def validate(rows: DataFrame) -> DataFrame:
 
 def normalise_row(rows: DataFrame) -> DataFrame:
     """Typed and trimmed rows; the review text itself stays as given."""
-    keep = [c for c in rows.columns if c in (*POSITION, "platform_key", "reject_reason")]
+    keep = [c for c in rows.columns
+            if c in (*POSITION, "platform_key", "reject_reason", "_hash")]
     return rows.select(
         or_default("review_id", "").alias("review_id"),
         or_default("app_name", "").alias("app_name"),
@@ -272,9 +273,8 @@ def _next_load(spark: SparkSession, root: str) -> int:
 def _load(spark, rows, root, names, platforms, at, load_id) -> DataFrame:
     staging = f"{root}/_staging/load_id={load_id}"
     row_hash = F.xxhash64(*[c for c in rows.columns if c not in POSITION])
-    normalise_row(validate(rows)).withColumn("_hash", row_hash).write.mode(
-        "errorifexists"
-    ).parquet(staging)
+    checked = validate(rows.withColumn("_hash", row_hash))
+    normalise_row(checked).write.mode("errorifexists").parquet(staging)
     staged = spark.read.parquet(staging)
 
     per_source = {
