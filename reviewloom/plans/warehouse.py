@@ -31,6 +31,7 @@ from reviewloom.sources.readers import POSITION, combine_sources
 
 REASONS = ["empty review_id", "empty review text", "star_rating out of range"]
 # columns kept beside the review rows so that labels and counts come from what was written
+LISTED_LOADS = 1000
 EXTRA = "_given_sentiment string, _source int, load_id long"
 
 
@@ -198,23 +199,49 @@ def _stored(spark: SparkSession, root: str, table: str) -> DataFrame:
         schema = f"{schema}, load_id long"
     path = f"{root}/{table}"
     if not path_exists(spark, path):
-        return spark.createDataFrame([], schema)
+        fields = [c.split() for c in schema.split(", ")]
+        return spark.range(0).select(*[F.lit(None).cast(t).alias(c) for c, t in fields])
     return spark.read.schema(schema).parquet(path)
 
 
-def read_table(spark: SparkSession, root: str, table: str, internal: bool = False) -> DataFrame:
-    """Rows of successful loads. The filter is on the folder column, so Spark prunes folders."""
+def _finished(spark: SparkSession, root: str) -> DataFrame:
     runs = _stored(spark, root, "ingestion_runs")
+    return runs.filter(F.col("status") == "success").select("load_id").distinct()
+
+
+def _of_loads(rows: DataFrame, loads: DataFrame, current: int | None = None) -> DataFrame:
+    """Rows of the finished loads and of the current one. Up to ``LISTED_LOADS`` folders are
+    named in the filter and so pruned when the scan is planned; more are joined."""
+    listed = [r["load_id"] for r in loads.limit(LISTED_LOADS + 1).collect()]
+    if len(listed) <= LISTED_LOADS:
+        return rows.filter(F.col("load_id").isin([*listed, *([current] if current else [])]))
+    done = rows.join(loads, "load_id", "left_semi")
+    return done if current is None else done.unionByName(rows.filter(F.col("load_id") == current))
+
+
+def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """Rows of successful loads."""
     cols = [c.split()[0] for c in WAREHOUSE[table].split(", ")]
-    if table == "ingestion_runs":
-        return runs.select(*cols)
-    done = runs.filter(F.col("status") == "success").select("load_id").distinct()
-    rows = _stored(spark, root, table).join(done, "load_id", "left_semi")
-    return rows if internal else rows.select(*cols)
+    rows = _stored(spark, root, table)
+    if table != "ingestion_runs":
+        rows = _of_loads(rows, _finished(spark, root))
+    return rows.select(*cols)
 
 
 def read_warehouse(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    return {t: read_table(spark, root, t) for t in WAREHOUSE}
+    loads = _finished(spark, root)
+    return {
+        t: (_stored(spark, root, t) if t == "ingestion_runs"
+            else _of_loads(_stored(spark, root, t), loads))
+        .select(*[c.split()[0] for c in cols.split(", ")])
+        for t, cols in WAREHOUSE.items()
+    }
+
+
+def literal_rows(spark: SparkSession, rows: Sequence[tuple], names: Sequence[str]) -> DataFrame:
+    """A few rows of the driver's as a table."""
+    cells = [F.struct(*[F.lit(v).alias(c) for c, v in zip(names, row)]) for row in rows]
+    return spark.range(1).select(F.explode(F.array(*cells)).alias("r")).select("r.*")
 
 
 def _write(df: DataFrame, root: str, table: str, load_id: int) -> str:
@@ -288,25 +315,28 @@ def _load(spark, rows, root, names, platforms, at, load_id) -> DataFrame:
     }
     valid = staged.filter(F.col("reject_reason").isNull())
 
-    # dimensions come from all valid rows, duplicates included
-    before = _visible(spark, root, "platforms", load_id)
-    new_platforms = upsert_dim(before, valid, ["platform_key"], POSITION).withColumn(
-        "display_name", platform_name("platform_key")
-    )
-    _write(new_platforms, root, "platforms", load_id)
-    all_platforms = _visible(spark, root, "platforms", load_id)
+    loads = _finished(spark, root)
+
+    def visible(table: str) -> DataFrame:
+        """What earlier loads and this one have written so far."""
+        return _of_loads(_stored(spark, root, table), loads, load_id)
+
+    # the platforms are given; apps and users come from all valid rows, duplicates included
+    given = literal_rows(spark, list(enumerate(platforms)), ["_at", "platform_key"])
+    new_platforms = upsert_dim(visible("platforms"), given, ["platform_key"], ["_at"])
+    _write(new_platforms.withColumn("display_name", platform_name("platform_key")).coalesce(1),
+           root, "platforms", load_id)
+    all_platforms = visible("platforms")
     p = all_platforms.select(F.col("id").alias("platform_fk"), "platform_key")
     keyed = valid.join(F.broadcast(p), "platform_key")
-    visible = {}
-    for table, keys in (("apps", ["app_name", "platform_fk"]), ("users", ["username", "platform_fk"])):
-        before = _visible(spark, root, table, load_id)
-        new = upsert_dim(before, keyed.select(*keys, *POSITION), keys, POSITION)
+    for table, name in (("apps", "app_name"), ("users", "username")):
+        keys = [name, "platform_fk"]
+        new = upsert_dim(visible(table), keyed.select(*keys, *POSITION), keys, POSITION)
         _write(new, root, table, load_id)
-        visible[table] = _visible(spark, root, table, load_id)
 
-    before = _visible(spark, root, "reviews", load_id)
+    before = visible("reviews")
     fresh = assign_ids(before, insert_new(before, valid, "review_id", POSITION), POSITION)
-    facts = resolve_fk(fresh, visible["apps"], visible["users"], all_platforms)
+    facts = resolve_fk(fresh, visible("apps"), visible("users"), all_platforms)
     run_id = F.lit(load_id) + F.col("_source")
     out = facts.withColumn("ingestion_run", run_id.cast("long")).withColumn(
         "_given_sentiment", F.col("sentiment")
@@ -317,9 +347,7 @@ def _load(spark, rows, root, names, platforms, at, load_id) -> DataFrame:
            root, "reviews", load_id)
 
     written = _stored(spark, root, "reviews").filter(F.col("load_id") == load_id)
-    labels = insert_labels(
-        _visible(spark, root, "sentiment_labels", load_id), written, "_given_sentiment", at
-    )
+    labels = insert_labels(visible("sentiment_labels"), written, "_given_sentiment", at)
     _write(labels, root, "sentiment_labels", load_id)
 
     inserted = {
@@ -334,16 +362,6 @@ def _load(spark, rows, root, names, platforms, at, load_id) -> DataFrame:
     return runs
 
 
-def _visible(spark, root, table, load_id) -> DataFrame:
-    """Rows of finished loads and of this one."""
-    done = (
-        _stored(spark, root, "ingestion_runs").filter(F.col("status") == "success")
-        .select("load_id").distinct()
-        .unionByName(spark.range(1).select(F.lit(load_id).cast("long").alias("load_id")))
-    )
-    return _stored(spark, root, table).join(done, "load_id", "left_semi")
-
-
 def _drop(spark, path) -> None:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
@@ -361,11 +379,10 @@ def _record(spark, root, load_id, at, names, platforms, counts, inserted, status
         checksum = f"{n}-{c['xor']}-{c['sum']}" if c else "-"
         data.append((load_id + i, str(name), checksum, platform, n, new, n - bad - new, bad,
                      done["unlabelled"] if done else 0, status))
-    schema = ("id long, source_file string, source_checksum string, platform_key string, "
-              "rows_in_file long, rows_inserted long, rows_skipped long, rows_rejected long, "
-              "rows_unlabelled long, status string")
-    cols = [c.split()[0] for c in WAREHOUSE["ingestion_runs"].split(", ")]
-    runs = spark.createDataFrame(data, schema).withColumn("run_at", at).select(*cols)
+    fields = [c.split() for c in WAREHOUSE["ingestion_runs"].split(", ")]
+    names = [c for c, _ in fields if c != "run_at"]
+    runs = literal_rows(spark, data, names).withColumn("run_at", at)
+    runs = runs.select(*[F.col(c).cast(t).alias(c) for c, t in fields])
     if status == "failed" and path_exists(spark, f"{root}/ingestion_runs/load_id={load_id}"):
         return runs
     path = _write(runs.coalesce(1), root, "ingestion_runs", load_id)
