@@ -33,12 +33,14 @@ def detect_language(
         def hits(words: Sequence[str]) -> Column:
             return F.size(F.filter(tokens, lambda t: t.isin(list(words))))
 
-        # the greatest struct: most hits, then the language named first
-        return F.array_max(F.array(*[
-            F.struct(hits(stop_words[lang]).alias("hits"), F.lit(-i).alias("order"),
-                     F.lit(lang).alias("lang"))
-            for i, lang in enumerate(sorted(stop_words))
-        ]))
+        def entry(count: Column, order: int, lang: str) -> Column:
+            return F.struct(count.alias("hits"), F.lit(order).alias("order"),
+                            F.lit(lang).alias("lang"))
+
+        # the greatest struct wins: most hits, then the language named first; without any hit
+        # that is the undetermined entry
+        langs = [entry(hits(stop_words[k]), -i, k) for i, k in enumerate(sorted(stop_words))]
+        return F.array_max(F.array(*langs, entry(F.lit(0), 1, UNDETERMINED)))
 
     best = F.element_at(F.transform(F.array(F.split(text, f"{NOT_WORD}+")), score), 1)
-    return F.when(best["hits"] > 0, best["lang"]).otherwise(UNDETERMINED)
+    return best["lang"]

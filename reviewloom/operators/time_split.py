@@ -102,24 +102,31 @@ def time_split(
     are train, up to ``int(n * (train + val))`` val, the rest test.
 
     ``row_id`` is a unique integer. ``boundary='date'`` moves each boundary to the end of its
-    day, so a day never lies in two splits. Boundaries are looked up first and reach the rows as
-    a scalar subquery: the rows themselves are neither shuffled nor sorted.
+    day, so a day never lies in two splits. The two boundaries are looked up once and reach the
+    rows as literals: the rows themselves are neither shuffled nor sorted, every use of the split
+    sees the same cut, and reading one split prunes the scan by date.
     """
     check_ratios(train, val, test)
     dated = df.filter(F.col(date).isNotNull())
     d = F.col(date)
     if boundary == "date":
-        cuts = _cuts_by_day(dated, date, train, val).scalar()
-        in_train, in_val = d <= cuts["train"], d <= cuts["val"]
+        cuts = _cuts_by_day(dated, date, train, val).first()["cuts"]
+
+        def upto(name):
+            return F.lit(False) if cuts[name] is None else d <= F.lit(cuts[name])
+
     elif boundary == "row":
-        cuts = _cuts_by_row(dated, date, row_id, train, val, block_rows).scalar()
+        cuts = _cuts_by_row(dated, date, row_id, train, val, block_rows).first()["cuts"]
 
-        def upto(c):
-            return (d < c["day"]) | ((d == c["day"]) & (F.col(row_id) <= c["id"]))
+        def upto(name):
+            if cuts[name] is None:
+                return F.lit(False)
+            day, last = F.lit(cuts[name]["day"]), F.lit(cuts[name]["id"])
+            return (d < day) | ((d == day) & (F.col(row_id) <= last))
 
-        in_train, in_val = upto(cuts["train"]), upto(cuts["val"])
     else:
         raise ValueError(f"boundary must be 'row' or 'date', got {boundary!r}")
+    in_train, in_val = upto("train"), upto("val")
     return dated.withColumn(
         "split", F.when(in_train, "train").when(in_val, "val").otherwise("test")
     )

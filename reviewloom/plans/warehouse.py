@@ -26,6 +26,7 @@ from reviewloom.functions.columns import (
 from reviewloom.operators.describe import star_distribution
 from reviewloom.operators.joins import lookup_join
 from reviewloom.operators.order_stats import dense_number, first_per_key, top_k
+from reviewloom.operators.tables import literal_rows
 from reviewloom.schemas import RUN_STATES, SENTIMENTS, STAR_RULE, WAREHOUSE
 from reviewloom.sources.readers import POSITION, combine_sources
 
@@ -238,12 +239,6 @@ def read_warehouse(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     }
 
 
-def literal_rows(spark: SparkSession, rows: Sequence[tuple], names: Sequence[str]) -> DataFrame:
-    """A few rows of the driver's as a table."""
-    cells = [F.struct(*[F.lit(v).alias(c) for c, v in zip(names, row)]) for row in rows]
-    return spark.range(1).select(F.explode(F.array(*cells)).alias("r")).select("r.*")
-
-
 def _write(df: DataFrame, root: str, table: str, load_id: int) -> str:
     path = f"{root}/{table}/load_id={load_id}"
     df.write.mode("errorifexists").parquet(path)

@@ -319,7 +319,7 @@ QUERIES = {
         "md5(review_text) AS review_md5, review_length, word_count, title, sentiment, "
         "reject_reason FROM typed")),
     "add_lengths": (
-        column_query(lambda s, d: V.table(s, d, "documents"), "doc_id",
+        column_query(V.documents, "doc_id",
                      review_length=lambda: C.review_length("text"),
                      word_count=lambda: C.word_count("text")),
         f"SELECT doc_id, length(text) AS review_length, {V.words_sql('text')} AS word_count "
