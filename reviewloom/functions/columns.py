@@ -135,18 +135,35 @@ def word_tokens(col: Column | str, min_chars: int = 2) -> Column:
 
 def ngrams(tokens: Column | str, n: int) -> Column:
     """All 1..n-grams of a token array, each joined by a blank."""
-    t = _c(tokens)
-    none = F.array().cast("array<string>")
 
-    def of_size(size: int) -> Column:
-        def gram(start: Column) -> Column:
-            return F.concat_ws(" ", *[F.get(t, start + k) for k in range(size)])
-
-        starts = F.sequence(F.lit(0), F.size(t) - size)
-        return F.when(F.size(t) >= size, F.transform(starts, gram)).otherwise(none)
-
-    parts = [t] + [of_size(size) for size in range(2, n + 1)]
-    return F.concat(*parts) if len(parts) > 1 else parts[0]
+    def build(t: Column) -> Column:
+        parts = [t]
+        for k in range(2, n + 1):
+            # the grams one shorter without their last, each with the word that follows it
+            shorter = F.slice(parts[-1], F.lit(1), F.greatest(F.size(parts[-1]) - 1, F.lit(0)))
+            following = F.slice(t, F.lit(k), F.size(t))
+            parts.append(F.zip_with(shorter, following, lambda a, b: F.concat(a, F.lit(" "), b)))
+        return F.concat(*parts) if n > 1 else t
+
+    # the one-element transform binds the tokens, so they are computed once
+    return F.element_at(F.transform(F.array(_c(tokens)), build), 1)
+
+
+def word_runs(tokens: str, n: int) -> Column:
+    """The array of ``struct(w1, ..., wn)``: every token with those that follow it, null past the
+    end. Unfolding it keeps n-grams inside codegen."""
+    t = F.col(tokens)
+    shifted = [F.slice(t, F.lit(k), F.size(t)) for k in range(2, n + 1)]
+    fields = ", ".join(f"w{k}: string" for k in range(1, n + 1))
+    return F.arrays_zip(t, *shifted).cast(f"array<struct<{fields}>>")
+
+
+def run_grams(run: str, n: int) -> Column:
+    """The n-grams that start at an unfolded word run; null where the text ends before."""
+    grams = [F.col(f"{run}.w1")]
+    for k in range(2, n + 1):
+        grams.append(F.concat(grams[-1], F.lit(" "), F.col(f"{run}.w{k}")))
+    return F.array(*grams)
 
 
 def literal_count(col: Column | str, needle: str) -> Column:

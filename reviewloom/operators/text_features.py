@@ -11,7 +11,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from reviewloom.functions.columns import mentions, ngrams, normalise_text, word_tokens
+from reviewloom.functions.columns import (
+    mentions,
+    normalise_text,
+    run_grams,
+    word_runs,
+    word_tokens,
+)
 from reviewloom.operators.joins import BROADCAST_ROWS, fits
 
 # Fitting limits.
@@ -33,28 +39,30 @@ ASPECTS: dict[str, list[str]] = {
 }
 
 
-def document_terms(df: DataFrame, text: str = "review_text", ngram_max: int = NGRAM_MAX):
-    """``(sample_id, grams)``: every 1..n-gram of the normalised text, repeats included."""
+def unfold_terms(
+    df: DataFrame, text: str, ngram_max: int, keep: Sequence[str] = ()
+) -> DataFrame:
+    """One row ``(sample_id, keep..., term)`` per occurrence of a 1..n-gram of the normalised
+    text."""
     tokens = word_tokens(normalise_text(F.coalesce(F.col(text), F.lit(""))))
-    base = df.select("sample_id", tokens.alias("_tokens"))
-    return base.select("sample_id", ngrams("_tokens", ngram_max).alias("grams"))
+    cols = ["sample_id", *keep]
+    runs = df.select(*cols, tokens.alias("_t")).select(
+        *cols, F.explode(word_runs("_t", ngram_max)).alias("_run")
+    )
+    grams = runs.select(*cols, F.explode(run_grams("_run", ngram_max)).alias("term"))
+    return grams.filter(F.col("term").isNotNull())
 
 
-def term_counts(df: DataFrame, text: str = "review_text", ngram_max: int = NGRAM_MAX,
-                partition_first: bool = True) -> DataFrame:
+def term_counts(df: DataFrame, text: str = "review_text", ngram_max: int = NGRAM_MAX) -> DataFrame:
     """``(sample_id, term, tf)``.
 
     The texts are partitioned by document before they unfold: that moves each text once, and
     counting, weighting and normalising per document then need no further shuffle. Terms unfold
     to several times the text.
     """
-    if partition_first:
-        df = df.select("sample_id", text).repartition("sample_id")
-    return (
-        document_terms(df, text, ngram_max)
-        .select("sample_id", F.explode("grams").alias("term"))
-        .groupBy("sample_id", "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
+    placed = df.select("sample_id", text).repartition("sample_id")
+    return unfold_terms(placed, text, ngram_max).groupBy("sample_id", "term").agg(
+        F.count(F.lit(1)).alias("tf")
     )
 
 
@@ -115,12 +123,9 @@ def tfidf_transform(
     A document's cells are bounded by the vocabulary, so normalising it is a small window.
     ``keep`` carries further columns, such as the split, along.
     """
-    base = df.select("sample_id", text, *keep).repartition("sample_id")
-    tokens = word_tokens(normalise_text(F.coalesce(F.col(text), F.lit(""))))
-    grams = ngrams("_tokens", ngram_max)
+    placed = df.select("sample_id", text, *keep).repartition("sample_id")
     cells = (
-        base.select("sample_id", *keep, tokens.alias("_tokens"))
-        .select("sample_id", *keep, F.explode(grams).alias("term"))
+        unfold_terms(placed, text, ngram_max, keep)
         .join(F.broadcast(vocab.select("term", "term_idx", "idf")), "term")
         .groupBy("sample_id", *keep, "term_idx", "idf")
         .agg(((F.lit(1.0) + F.ln(F.count(F.lit(1)))) * F.col("idf")).alias("w"))
