@@ -236,9 +236,14 @@ LEXICON_CTES = [
 ]
 
 
+def off_ties(df):
+    """Mean scores can end in a 5 at the seventh decimal, where engines round differently."""
+    return df.withColumns({c: F.col(c) + F.lit(1e-9) for c in ("polarity", "subjectivity")})
+
+
 def polarity(spark, sf):
-    return r6(T.lexicon_sentiment(splits(spark, sf), lexicon(spark, sf), keep=SPLIT,
-                                  negations=NEGATIONS))
+    return r6(off_ties(T.lexicon_sentiment(splits(spark, sf), lexicon(spark, sf), keep=SPLIT,
+                                           negations=NEGATIONS)))
 
 
 # --- aspects -------------------------------------------------------------------------------
@@ -313,7 +318,7 @@ def families(spark, sf):
 
 def assembled(spark, sf):
     """All families side by side; the arrays are summed up for the check."""
-    out = P.assemble(families(spark, sf))
+    out = off_ties(P.assemble(families(spark, sf)))
     return r6(out.select(
         "sample_id", "split", "sentiment", "polarity", "aspect_ui", "uppercase_ratio",
         F.size("indices").alias("cells"),
@@ -322,7 +327,7 @@ def assembled(spark, sf):
 
 
 ASSEMBLED_SQL = G(
-    """SELECT sp.id || '#0' AS sample_id, sp.split, sentiment, round(polarity, 6) + 0.0 AS polarity,
+    """SELECT sp.id || '#0' AS sample_id, sp.split, sentiment, round(polarity + 1e-9, 6) + 0.0 AS polarity,
   aspect_ui, round((uppercase_ratio - (SELECT mean FROM sc WHERE feature = 'uppercase_ratio'))
     / (SELECT scale FROM sc WHERE feature = 'uppercase_ratio'), 6) + 0.0 AS uppercase_ratio,
   CAST(coalesce(x.n, 0) AS INTEGER) AS cells, round(coalesce(x.total, 0), 6) AS total
@@ -415,8 +420,8 @@ QUERIES = {
         "SELECT feature, round(mean, 6) AS mean, round(scale, 6) AS scale FROM sc")),
     "apply_scaler": (scaled, Q(f"SELECT sample_id, split, {scaled_sql('mt')} FROM mt")),
     "lexicon_sentiment": (polarity, V.with_reviews(
-        "SELECT sample_id, split, round(polarity, 6) + 0.0 AS polarity, "
-        "round(subjectivity, 6) AS subjectivity FROM lp", *split_ctes(), *LEXICON_CTES)),
+        "SELECT sample_id, split, round(polarity + 1e-9, 6) + 0.0 AS polarity, "
+        "round(subjectivity + 1e-9, 6) AS subjectivity FROM lp", *split_ctes(), *LEXICON_CTES)),
     "aspects": (aspect_flags, V.with_reviews(ASPECT_SQL, *split_ctes())),
     "feature_labels": (label_rows, V.with_reviews(
         "SELECT id || '#0' AS sample_id, review_id, split, sentiment FROM sp", *split_ctes())),
