@@ -69,5 +69,9 @@ def apply_scaler(meta: DataFrame, scaler: DataFrame) -> DataFrame:
             for c in features
         ]).alias("s")
     ).scalar()
-    scaled = {c: (F.col(c) - picked[c]["mean"]) / picked[c]["scale"] for c in features}
-    return meta.select(*[scaled[c].alias(c) if c in scaled else F.col(c) for c in meta.columns])
+    fit = F.col("_fit")
+    scaled = {c: (F.col(c) - fit[c]["mean"]) / fit[c]["scale"] for c in features}
+    # bound to a column first, so that the subquery is planned once and not per feature
+    return meta.withColumn("_fit", picked).select(
+        *[scaled[c].alias(c) if c in scaled else F.col(c) for c in meta.columns]
+    )
