@@ -121,12 +121,15 @@ def share(part: Column | str, whole: Column | str) -> Column:
 # --- text ---------------------------------------------------------------------------------
 
 
+def lower_without_urls(col: Column | str) -> Column:
+    return F.regexp_replace(F.lower(_c(col)), f"http{NON_SPACE}+|www\\.{NON_SPACE}+", " ")
+
+
 def normalise_text(col: Column | str) -> Column:
-    """Lower case, addresses and runs of white space to one blank; punctuation stays."""
-    c = F.lower(_c(col))
-    c = F.regexp_replace(c, f"http{NON_SPACE}+|www\\.{NON_SPACE}+", " ")
-    c = F.regexp_replace(c, f"{SPACE}+", " ")
-    return F.trim(c)
+    """Lower case, addresses and runs of white space to one blank; punctuation stays. Blanks that
+    stand alone are already right and are not matched."""
+    runs = f"[{SPACE[1:-1]}&&[^ ]]{SPACE}*| {SPACE}+"
+    return F.trim(F.regexp_replace(lower_without_urls(col), runs, " "))
 
 
 def word_tokens(col: Column | str, min_chars: int = 2) -> Column:

@@ -12,8 +12,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from reviewloom.functions.columns import (
+    lower_without_urls,
     mentions,
-    normalise_text,
     run_grams,
     word_runs,
     word_tokens,
@@ -43,8 +43,8 @@ def unfold_terms(
     df: DataFrame, text: str, ngram_max: int, keep: Sequence[str] = ()
 ) -> DataFrame:
     """One row ``(sample_id, keep..., term)`` per occurrence of a 1..n-gram of the normalised
-    text."""
-    tokens = word_tokens(normalise_text(F.coalesce(F.col(text), F.lit(""))))
+    text. White space separates tokens in any amount, so it need not be collapsed here."""
+    tokens = word_tokens(lower_without_urls(F.coalesce(F.col(text), F.lit(""))))
     cols = ["sample_id", *keep]
     runs = df.select(*cols, tokens.alias("_t")).select(
         *cols, F.explode(word_runs("_t", ngram_max)).alias("_run")

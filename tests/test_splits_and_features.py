@@ -180,5 +180,7 @@ def test_split_and_feature_jobs(spark, tmp_path, monkeypatch):
     again = P.apply_model(written, model, keep=["split"])
     key = ["sample_id", "term_idx"]
     assert again["tfidf"].join(families["tfidf"], key, "left_anti").count() == 0
-    with pytest.raises(FileNotFoundError):
-        P.build_features(spark, f"{out}/split=train", features)
+    partial = str(tmp_path / "partial")
+    written.filter("split <> 'val'").write.partitionBy("split").parquet(partial)
+    with pytest.raises(FileNotFoundError, match="val"):
+        P.build_features(spark, partial, features)
