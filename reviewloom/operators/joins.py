@@ -20,7 +20,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> Da
     Counts combine before the shuffle, so a hot key costs one row per task.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg((F.sum("_n") * F.lit(share)).alias("t")).scalar()
+    total = df.agg((F.count(F.lit(1)) * F.lit(share)).alias("t")).scalar()
     return counts.filter((F.col("_n") >= total) & (F.col("_n") > 1)).select(*keys)
 
 
@@ -36,7 +36,8 @@ def salted_join(
     """Join whose left side may be skewed on the key.
 
     Rows of hot left keys get one of ``salts`` numbers and the right rows of those keys are
-    repeated once per number; every other row keeps number 0. The list of hot keys is bounded by
+    repeated once per number; every other row keeps number 0. Left rows without a key match nothing
+    and are spread the same way. The list of hot keys is bounded by
     ``1 / share`` rows, which is what makes it safe to broadcast. The left side is shuffled once.
     The number is a hash of ``salt_by`` (all columns by default), so a task that runs again after
     a lost executor sends its rows to the same places.
@@ -46,9 +47,12 @@ def salted_join(
     on = list(on)
     hot = hot_keys(left, on, share).withColumn("_hot", F.lit(True))
     salt = F.pmod(F.xxhash64(*(salt_by or left.columns)), F.lit(salts)).cast("int")
+    keyless = F.lit(False)
+    for key in on:
+        keyless = keyless | F.col(key).isNull()
     l_side = (
         left.join(F.broadcast(hot), on, "left")
-        .withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0)))
+        .withColumn("_salt", F.when(F.col("_hot") | keyless, salt).otherwise(F.lit(0)))
         .drop("_hot")
     )
     r_side = (

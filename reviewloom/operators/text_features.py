@@ -18,7 +18,7 @@ from reviewloom.functions.columns import (
     word_runs,
     word_tokens,
 )
-from reviewloom.operators.joins import BROADCAST_ROWS, fits
+from reviewloom.operators.joins import BROADCAST_ROWS, fits, salted_join
 
 # Fitting limits.
 MAX_FEATURES = 15_000
@@ -179,7 +179,7 @@ def lexicon_sentiment(
 
     Tokens carry their neighbours out of the array, so no window is needed and a text's scores
     are added up in the task that holds it. The lexicon is broadcast only if it is small enough;
-    beyond that its words are joined by a shuffle in which AQE splits frequent words.
+    beyond that frequent words are salted.
     """
     t = F.col("_t")
     tokens = F.regexp_extract_all(
@@ -189,14 +189,19 @@ def lexicon_sentiment(
         df.select("sample_id", *keep, tokens.alias("_t"))
         .select("sample_id", *keep, "_t", F.posexplode("_t").alias("_i", "_word"))
         .select(
-            "sample_id", *keep, "_word",
+            "sample_id", *keep, "_i", "_word",
             F.get(t, F.col("_i") - 1).alias("_prev"),
             F.get(t, F.col("_i") - 2).alias("_prev2"),
             F.get(t, F.col("_i") + 1).alias("_next"),
         )
     )
     small = fits(lexicon, broadcast_rows)
-    side = F.broadcast if small else (lambda d: d)
+
+    def look_up(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:
+        if small:
+            return left.join(F.broadcast(right), key, how)
+        return salted_join(left, right, [key], how, salt_by=["sample_id", "_i"])
+
     words = lexicon.select(
         F.lower("word").alias("_word"), "polarity", "subjectivity",
         F.coalesce("intensity", F.lit(1.0)).alias("_own"),
@@ -205,12 +210,9 @@ def lexicon_sentiment(
         F.col("_word").alias("_prev"), F.col("_own").alias("_by")
     )
     nxt = words.select(F.col("_word").alias("_next"), F.lit(True).alias("_next_scored"))
-    hits = (
-        positioned.join(side(words), "_word")
-        .join(side(nxt), "_next", "left")
-        .filter(~((F.col("_own") != 1.0) & F.coalesce("_next_scored", F.lit(False))))
-        .join(side(prev), "_prev", "left")
-    )
+    hits = look_up(look_up(positioned, words, "_word", "inner"), nxt, "_next", "left")
+    hits = hits.filter(~((F.col("_own") != 1.0) & F.coalesce("_next_scored", F.lit(False))))
+    hits = look_up(hits, prev, "_prev", "left")
     by = F.coalesce("_by", F.lit(1.0))
     negs = list(negations)
     negated = F.coalesce(F.col("_prev").isin(negs), F.lit(False)) | (

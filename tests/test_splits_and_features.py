@@ -20,7 +20,7 @@ def sizes(df):
     return {r["split"]: r["count"] for r in df.groupBy("split").count().collect()}
 
 
-@pytest.mark.parametrize("block", [3, 1 << 20])
+@pytest.mark.parametrize("block", [3, 1 << 17])
 def test_row_boundaries(spark, block):
     got = time_split(dated(spark, 90), block_rows=block)
     assert sizes(got) == {"train": 62, "val": 14, "test": 14}
