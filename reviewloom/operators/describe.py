@@ -31,12 +31,6 @@ from reviewloom.schemas import (
 
 
 
-
-def _rows(df: DataFrame) -> Column:
-    """Row count of a frame as a scalar subquery."""
-    return df.agg(F.count("*").alias("c")).scalar()
-
-
 def _distribution(df: DataFrame, key: str) -> DataFrame:
     counts = df.groupBy(key).agg(F.count("*").alias("n"))
     return counts.withColumn("pct", share("n", F.sum("n").over(W.partitionBy())))

@@ -6,7 +6,6 @@ import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from reviewloom.functions.tails import correlation_p

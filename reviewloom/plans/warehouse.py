@@ -25,7 +25,7 @@ from reviewloom.functions.columns import (
 )
 from reviewloom.operators.describe import star_distribution
 from reviewloom.operators.joins import lookup_join
-from reviewloom.operators.order_stats import dense_number, first_per_key, top_k
+from reviewloom.operators.order_stats import dense_number, first_per_key
 from reviewloom.operators.tables import literal_rows
 from reviewloom.schemas import RUN_STATES, SENTIMENTS, STAR_RULE, WAREHOUSE
 from reviewloom.sources.readers import POSITION, combine_sources
