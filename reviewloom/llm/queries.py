@@ -2,10 +2,30 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from reviewloom.llm import quality_rules as quality
+from reviewloom.llm import url_filters as urls
+from reviewloom.llm.packing import pack, token_pieces
 from reviewloom.llm.text import table
+from reviewloom.llm.token_counts import token_counts
+from reviewloom.session import ship_package
+
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    pieces = token_pieces(table(spark, sf_dir, "documents"), VOCABULARY)
+    return pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts(docs, VOCABULARY).drop("text")
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,6 +34,14 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality.NEW)
 
 
+def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return urls.url_filters(table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
+
+
 QUERIES = {
+    "op2_best_fit_packing": (op2_best_fit_packing, None),
+    "op5_token_counts": (op5_token_counts, None),
     "op9_quality_rules": (op9_quality_rules, None),
+    "op10_url_filters": (op10_url_filters, urls.ORACLE_SQL),
 }
