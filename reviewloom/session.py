@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -42,3 +44,20 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="reviewloom-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Lets Python workers import this package, also where it is not installed and the session was
+    started without ``--py-files``: a zip of it is added to the session, once per application."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        root = Path(__file__).resolve().parent
+        path = Path(tempfile.mkdtemp(prefix="reviewloom-py-")) / "reviewloom.zip"
+        with zipfile.ZipFile(path, "w") as out:
+            for file in root.rglob("*.py"):
+                out.write(file, file.relative_to(root.parent))
+        context.addPyFile(str(path))  # Spark's own file service carries it to the executors
+        _SHIPPED.add(context.applicationId)
