@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewloom.llm import chat_format as chat
 from reviewloom.llm import quality_rules as quality
+from reviewloom.llm import secret_scan as secrets
 from reviewloom.llm import url_filters as urls
 from reviewloom.llm.packing import pack, token_pieces
 from reviewloom.llm.text import table
@@ -22,12 +24,31 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
 
 
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.chat_format(table(spark, sf_dir, "conversations"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_counts(docs, VOCABULARY).drop("text")
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.secret_spans(docs)
+    rules = [*secrets.BASE, *secrets.EXTRA]
+    base = F.filter("secrets", lambda s: s["place"] < len(secrets.BASE))
+    counts = {
+        f"n_{rule.kind}": secrets.count_of(k)
+        for k, rule in enumerate(secrets.BASE)
+    }
+    return found.withColumns({
+        **counts, "base_sha256": F.sha2(secrets.span_string(base, rules), 256),
+        "spans": secrets.span_string(F.col("secrets"), rules),
+    }).drop("text", "secrets")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     judged = quality.quality_rules(docs, table(spark, sf_dir, "labels"))
@@ -41,7 +62,9 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_best_fit_packing": (op2_best_fit_packing, None),
+    "op4_chat_format": (op4_chat_format, chat.ORACLE_SQL),
     "op5_token_counts": (op5_token_counts, None),
+    "op8_secret_scan": (op8_secret_scan, secrets.ORACLE_SQL),
     "op9_quality_rules": (op9_quality_rules, None),
     "op10_url_filters": (op10_url_filters, urls.ORACLE_SQL),
 }
