@@ -10,6 +10,7 @@ from reviewloom.llm import chat_format as chat
 from reviewloom.llm import quality_rules as quality
 from reviewloom.llm import secret_scan as secrets
 from reviewloom.llm import url_filters as urls
+from reviewloom.llm.decontaminate import contaminated_pairs
 from reviewloom.llm.packing import pack, token_pieces
 from reviewloom.llm.text import table
 from reviewloom.llm.token_counts import token_counts
@@ -18,6 +19,12 @@ from reviewloom.session import ship_package
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return contaminated_pairs(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     pieces = token_pieces(table(spark, sf_dir, "documents"), VOCABULARY)
@@ -61,6 +68,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontamination": (op1_decontamination, None),
     "op2_best_fit_packing": (op2_best_fit_packing, None),
     "op4_chat_format": (op4_chat_format, chat.ORACLE_SQL),
     "op5_token_counts": (op5_token_counts, None),
