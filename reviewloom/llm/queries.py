@@ -11,11 +11,33 @@ from reviewloom.llm import quality_rules as quality
 from reviewloom.llm import secret_scan as secrets
 from reviewloom.llm import url_filters as urls
 from reviewloom.llm.decontaminate import contaminated_pairs
+from reviewloom.llm.near_dedup import near_duplicates
 from reviewloom.llm.packing import pack, token_pieces
 from reviewloom.llm.text import table
 from reviewloom.llm.token_counts import token_counts
 from reviewloom.session import ship_package
 
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORD_LIST = r"regexp_extract_all({0}, '[^\x20\x09-\x0D]+')"
+# All links by joining the sets on their shingles, then everything that is reachable.
+OP6_SQL = f"""WITH RECURSIVE w AS (
+  SELECT doc_id, {_WORD_LIST.format(_LOWER)} AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE len(w) WHEN 0 THEN [] WHEN 1 THEN w
+    ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS g FROM w),
+n AS (
+  SELECT doc_id, count(g) AS n FROM documents LEFT JOIN s USING (doc_id) GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+  JOIN n x ON x.doc_id = a.doc_id JOIN n y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept
+FROM c JOIN n USING (doc_id)"""
+
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -41,6 +63,11 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(docs, VOCABULARY).drop("text")
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return near_duplicates(table(spark, sf_dir, "documents"), size=2).drop("_t")
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = secrets.secret_spans(docs)
@@ -72,6 +99,7 @@ QUERIES = {
     "op2_best_fit_packing": (op2_best_fit_packing, None),
     "op4_chat_format": (op4_chat_format, chat.ORACLE_SQL),
     "op5_token_counts": (op5_token_counts, None),
+    "op6_near_dedup": (op6_near_dedup, OP6_SQL),
     "op8_secret_scan": (op8_secret_scan, secrets.ORACLE_SQL),
     "op9_quality_rules": (op9_quality_rules, None),
     "op10_url_filters": (op10_url_filters, urls.ORACLE_SQL),
