@@ -1,21 +1,29 @@
 """Token ids of a word-wise byte-pair vocabulary, one pre-token at a time.
 
-Merges never cross a pre-token, so a text's ids are those of its pre-tokens in a row, and a
-pre-token's ids can be looked up instead of worked out. Texts in Latin-1 are cut by one compiled
-pattern; for others the library normalises and cuts, and texts that may hold a special string are
-left to the library as a whole.
+Pre-tokens are what lies between blanks. Merges never cross a blank, so a text's ids are those of its
+pre-tokens in a row, and a pre-token's ids can be looked up instead of worked out. Texts in Latin-1
+need lower case only; for others the library normalises, and texts that may hold a special string
+are left to the library as a whole.
 """
 
 from __future__ import annotations
 
 import json
 import re
+import sys
 import unicodedata
-from array import array
+from collections.abc import Iterator
+from itertools import chain
 from pathlib import Path
 
+import numpy as np
+
 LATIN = [chr(c) for c in range(256)]
-MOST_RECENT = 200_000  # pre-tokens a worker remembers before it starts anew
+MOST_RECENT = 400_000  # pre-tokens, and pieces, a worker remembers before it starts anew
+CHUNK = 1_000_000
+SEPARATORS = "\x1c\x1d\x1e\x1f"  # blanks for ``str.split``, but not by Unicode's White_Space
+BLANKS = "".join(chr(c) for c in range(sys.maxunicode) if chr(c).isspace()
+                 and chr(c) not in SEPARATORS)
 CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"  # fixed value: part of the vocabulary's pattern
 
 
@@ -25,27 +33,20 @@ def latin_pattern() -> re.Pattern:
         return "".join(re.escape(c) for c in LATIN if unicodedata.category(c)[0] == first)
 
     letters, numbers = kind("L"), kind("N")
-    # blanks by Unicode's White_Space; the separators 1C-1F are not among them
-    blanks = "".join(re.escape(c) for c in LATIN if c.isspace() and not "\x1c" <= c <= "\x1f")
     return re.compile(
-        f"{CONTRACTIONS}|[{letters}]+|[{numbers}]|[^{blanks}{letters}{numbers}]+")
+        f"{CONTRACTIONS}|[{letters}]+|[{numbers}]|[^{BLANKS}{letters}{numbers}]+")
 
 
-class Lookup(dict):
-    """Frequent pre-tokens with their values; others come from what this worker has met before,
-    or else from the encoder."""
+class Lookup:
+    """Values of pre-tokens: the frequent ones always, others as long as this worker remembers."""
 
-    def __init__(self, frequent, compute):
-        super().__init__(frequent)
-        self.compute, self.recent = compute, {}
+    def __init__(self, frequent):
+        self.frequent = frequent
+        self.known = dict(frequent)
 
-    def __missing__(self, key):
-        value = self.recent.get(key)
-        if value is None:
-            if len(self.recent) >= MOST_RECENT:
-                self.recent.clear()
-            value = self.recent[key] = self.compute(key)
-        return value
+    def make_room(self, n: int) -> None:
+        if len(self.known) + n > MOST_RECENT + len(self.frequent):
+            self.known = dict(self.frequent)
 
 
 class Encoder:
@@ -60,45 +61,99 @@ class Encoder:
             raise ValueError("a vocabulary that splits by a pattern, then into bytes, is needed")
         self.whole = Tokenizer.from_str(vocabulary)
         self.specials = [t["content"] for t in spec["added_tokens"]]
-        spec.update(normalizer=None, pre_tokenizer=steps[1], added_tokens=[])
-        self.single = Tokenizer.from_str(json.dumps(spec))
-        self.pattern = latin_pattern()
-        self.ids_of = Lookup({}, self._ids)
-        self.length_of = Lookup(frequent_lengths or {}, lambda t: len(self._ids(t)) // 4)
-
-    def _ids(self, token: str) -> bytes:
-        return _packed(self.single.encode(token, add_special_tokens=False).ids)
+        spec.update(normalizer=None, added_tokens=[])
+        self.listed = Tokenizer.from_str(json.dumps(spec))
+        self.pattern, self.blanks = latin_pattern(), re.compile(f"[{BLANKS}]+")
+        self.piece_ids: dict[str, bytes] = {}
+        self.ids_of, self.length_of = Lookup({}), Lookup(frequent_lengths or {})
 
     def pre_tokens(self, text: str) -> list[str] | None:
-        """None if the text may hold a special string."""
+        """What lies between blanks, in the vocabulary's case and form; no merge crosses a blank.
+        None if the text may hold a special string."""
         if any(s in text for s in self.specials):
             return None
         try:
             text.encode("latin-1")
+            text = text.lower()
+        except UnicodeEncodeError:
+            text = self.whole.normalizer.normalize_str(text)
+        if any(c in text for c in SEPARATORS):
+            return self.blanks.split(text.strip(" "))
+        return text.split()
+
+    def _pieces(self, token: str) -> list[str]:
+        """A pre-token cut by the vocabulary's pattern."""
+        try:
+            token.encode("latin-1")
         except UnicodeEncodeError:
-            plain = self.whole.normalizer.normalize_str(text)
-            return [plain[a:b] for _, (a, b) in self.whole.pre_tokenizer.pre_tokenize_str(plain)]
-        return self.pattern.findall(text.lower())
-
-    def ids(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        tokens = self.pre_tokens(text)
-        if tokens is None:
-            return _packed(self.whole.encode(text, add_special_tokens=False).ids)
-        return b"".join(map(self.ids_of.__getitem__, tokens))
-
-    def length(self, text: str) -> int:
-        tokens = self.pre_tokens(text)
-        if tokens is None:
-            return len(self.whole.encode(text, add_special_tokens=False).ids)
-        return sum(map(self.length_of.__getitem__, tokens))
-
-
-def _packed(ids: list[int]) -> bytes:
-    out = array("I", ids)
-    if out.itemsize != 4:
-        raise ValueError("this machine's unsigned int is not of 32 bits")
-    return out.tobytes()
+            return [token[a:b] for _, (a, b) in self.whole.pre_tokenizer.pre_tokenize_str(token)]
+        return self.pattern.findall(token)
+
+    def _encoded(self, tokens: list[str]) -> Iterator[bytes]:
+        """Ids of each pre-token, joined from those of its pieces, many of which it shares with
+        other pre-tokens."""
+        cut = [self._pieces(t) for t in tokens]
+        fresh = [*set(chain(*cut)).difference(self.piece_ids)]
+        if len(self.piece_ids) + len(fresh) > MOST_RECENT:
+            fresh = [*set(chain(*cut))]
+            self.piece_ids = {}
+        # a blank keeps pieces apart, so one call does for many; word numbers tell them apart
+        for k in range(0, len(fresh), 4096):
+            part = fresh[k:k + 4096]
+            out = self.listed.encode(" ".join(part), add_special_tokens=False)
+            ids, words = np.array(out.ids, "<u4"), np.array(out.word_ids, "int64")
+            if len(words) == 0 or words[-1] != len(part) - 1:
+                raise ValueError("the vocabulary leaves a piece without ids")
+            flat, start = ids.tobytes(), 0
+            ends = 4 * np.searchsorted(words, np.arange(len(part)), "right")
+            for piece, end in zip(part, ends.tolist(), strict=True):
+                self.piece_ids[piece] = flat[start:end]
+                start = end
+        find = self.piece_ids.__getitem__
+        for pieces in cut:
+            yield find(pieces[0]) if len(pieces) == 1 else b"".join(map(find, pieces))
+
+    def _each(self, texts: list[str], table: Lookup, value, join) -> Iterator:
+        for some in _chunks(texts):
+            lists = [self.pre_tokens(t) for t in some]
+            get = table.known.get
+            values = [t and list(map(get, t)) for t in lists]
+            fresh = {t for tokens, found in zip(lists, values, strict=True)
+                     if found and None in found
+                     for t, v in zip(tokens, found, strict=True) if v is None}
+            table.make_room(len(fresh))
+            tokens = [*fresh]
+            table.known.update(zip(tokens, map(value, self._encoded(tokens)), strict=True))
+            fresh_value = {t: table.known[t] for t in tokens}
+            for text, tokens, found in zip(some, lists, values, strict=True):
+                if tokens is None:
+                    ids = self.whole.encode(text, add_special_tokens=False).ids
+                    yield value(np.array(ids, "<u4").tobytes())
+                elif None in found:
+                    yield join([fresh_value[t] if v is None else v
+                                for t, v in zip(tokens, found, strict=True)])
+                else:
+                    yield join(found)
+
+    def ids(self, texts: list[str]) -> Iterator[bytes]:
+        """Little-endian unsigned 32-bit ids of each text."""
+        return self._each(texts, self.ids_of, bytes, b"".join)
+
+    def lengths(self, texts: list[str]) -> Iterator[int]:
+        return self._each(texts, self.length_of, lambda ids: len(ids) // 4, sum)
+
+
+def _chunks(texts: list[str]) -> Iterator[list[str]]:
+    """Texts in runs of about ``CHUNK`` characters, so that their pre-tokens fit in memory."""
+    some, size = [], 0
+    for text in texts:
+        some.append(text)
+        size += len(text)
+        if size >= CHUNK:
+            yield some
+            some, size = [], 0
+    if some:
+        yield some
 
 
 _ENCODERS: dict = {}

@@ -40,9 +40,9 @@ def token_pieces(docs: DataFrame, vocabulary_path: str, *, capacity: int = CAPAC
         encoder = worker_encoder(vocabulary)
         rows, size = [], 0
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
-                                    strict=True):
-                ids = encoder.ids(text or "") + end
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.ids(texts), strict=True):
+                ids += end
                 for k, at in enumerate(range(0, len(ids), width)):
                     part = ids[at:at + width]
                     rows.append((doc_id, k, at // 4, len(part) // 4, part))

@@ -52,15 +52,15 @@ def token_counts(docs: DataFrame, vocabulary_path: str, *, limit: int = LIMIT) -
     """
     context = docs.sparkSession.sparkContext
     vocabulary = context.broadcast(read_vocabulary(vocabulary_path))
-    encoder = Encoder(vocabulary.value)
-    frequent = context.broadcast(
-        {t: encoder.length(t) for t in frequent_pre_tokens(docs, vocabulary)})
+    top = frequent_pre_tokens(docs, vocabulary)
+    lengths = Encoder(vocabulary.value).lengths(top)
+    frequent = context.broadcast(dict(zip(top, lengths, strict=True)))
 
     @F.pandas_udf("long")
     def count(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = worker_encoder(vocabulary, frequent)
         for texts in series:
-            yield pd.Series([encoder.length(t) if t else 0 for t in texts], dtype="int64")
+            yield pd.Series(list(encoder.lengths(texts.tolist())), dtype="int64")
 
     text = F.coalesce(F.col("text"), F.lit(""))
     return docs.drop("n_bytes", "n_tokens", "over_limit").withColumns({
