@@ -13,7 +13,8 @@ import re
 import sys
 import unicodedata
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, compress, repeat
+from operator import is_
 from pathlib import Path
 
 import numpy as np
@@ -44,9 +45,15 @@ class Lookup:
         self.frequent = frequent
         self.known = dict(frequent)
 
-    def make_room(self, n: int) -> None:
-        if len(self.known) + n > MOST_RECENT + len(self.frequent):
-            self.known = dict(self.frequent)
+    def fresh(self, lists: list[list[str] | None]) -> set[str]:
+        """The pre-tokens that have no value yet."""
+        out = set()
+        for tokens in filter(None, lists):
+            out.update(compress(tokens, map(is_, map(self.known.get, tokens), repeat(None))))
+        return out
+
+    def is_full(self, n: int) -> bool:
+        return len(self.known) + n > MOST_RECENT + len(self.frequent)
 
 
 class Encoder:
@@ -116,24 +123,19 @@ class Encoder:
     def _each(self, texts: list[str], table: Lookup, value, join) -> Iterator:
         for some in _chunks(texts):
             lists = [self.pre_tokens(t) for t in some]
-            get = table.known.get
-            values = [t and list(map(get, t)) for t in lists]
-            fresh = {t for tokens, found in zip(lists, values, strict=True)
-                     if found and None in found
-                     for t, v in zip(tokens, found, strict=True) if v is None}
-            table.make_room(len(fresh))
+            fresh = table.fresh(lists)
+            if table.is_full(len(fresh)):
+                table.known = dict(table.frequent)
+                fresh = table.fresh(lists)
             tokens = [*fresh]
             table.known.update(zip(tokens, map(value, self._encoded(tokens)), strict=True))
-            fresh_value = {t: table.known[t] for t in tokens}
-            for text, tokens, found in zip(some, lists, values, strict=True):
+            find = table.known.__getitem__
+            for text, tokens in zip(some, lists, strict=True):
                 if tokens is None:
                     ids = self.whole.encode(text, add_special_tokens=False).ids
                     yield value(np.array(ids, "<u4").tobytes())
-                elif None in found:
-                    yield join([fresh_value[t] if v is None else v
-                                for t, v in zip(tokens, found, strict=True)])
                 else:
-                    yield join(found)
+                    yield join(map(find, tokens))
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
