@@ -13,10 +13,27 @@ from reviewloom.llm import url_filters as urls
 from reviewloom.llm.decontaminate import contaminated_pairs
 from reviewloom.llm.near_dedup import near_duplicates
 from reviewloom.llm.packing import pack, token_pieces
+from reviewloom.llm.substring_dedup import substring_dedup
 from reviewloom.llm.text import table
 from reviewloom.llm.token_counts import token_counts
 from reviewloom.session import ship_package
 
+OP3_SQL = r"""WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)),
+low AS (SELECT g, min(doc_id) AS low FROM g GROUP BY g),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM g JOIN low USING (g)
+  WHERE low < doc_id),
+word AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept, count(*) AS n
+  FROM word ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)"""
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORD_LIST = r"regexp_extract_all({0}, '[^\x20\x09-\x0D]+')"
 # All links by joining the sets on their shingles, then everything that is reachable.
@@ -53,6 +70,12 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    out = substring_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.withColumn("kept_sha256", F.sha2("kept_text", 256)).drop("text", "kept_text")
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_format(table(spark, sf_dir, "conversations"))
 
@@ -97,6 +120,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": (op1_decontamination, None),
     "op2_best_fit_packing": (op2_best_fit_packing, None),
+    "op3_substring_dedup": (op3_substring_dedup, OP3_SQL),
     "op4_chat_format": (op4_chat_format, chat.ORACLE_SQL),
     "op5_token_counts": (op5_token_counts, None),
     "op6_near_dedup": (op6_near_dedup, OP6_SQL),
