@@ -10,6 +10,7 @@ from reviewloom.llm import chat_format as chat
 from reviewloom.llm import quality_rules as quality
 from reviewloom.llm import secret_scan as secrets
 from reviewloom.llm import url_filters as urls
+from reviewloom.llm.brown_lm import class_scores
 from reviewloom.llm.decontaminate import contaminated_pairs
 from reviewloom.llm.near_dedup import near_duplicates
 from reviewloom.llm.packing import pack, token_pieces
@@ -91,6 +92,11 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), size=2).drop("_t")
 
 
+def op7_class_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return class_scores(table(spark, sf_dir, "documents"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = secrets.secret_spans(docs)
@@ -124,6 +130,7 @@ QUERIES = {
     "op4_chat_format": (op4_chat_format, chat.ORACLE_SQL),
     "op5_token_counts": (op5_token_counts, None),
     "op6_near_dedup": (op6_near_dedup, OP6_SQL),
+    "op7_class_scores": (op7_class_scores, None),
     "op8_secret_scan": (op8_secret_scan, secrets.ORACLE_SQL),
     "op9_quality_rules": (op9_quality_rules, None),
     "op10_url_filters": (op10_url_filters, urls.ORACLE_SQL),
