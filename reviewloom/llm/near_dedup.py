@@ -281,12 +281,11 @@ def near_duplicates(
 
 
 def without_copies(docs: DataFrame, **choices) -> DataFrame:
-    """``docs`` with one row of each component, that of the smallest id; of rows that repeat an id
-    or are null in it, one is taken for each component. Columns stay as they are. See
-    ``near_duplicates`` for ``choices``; rows without shingles are all kept."""
-    judged = near_duplicates(docs, **choices).filter(
-        "not kept or n_shingles > 0").withColumn("_id", F.col("doc_id"))
-    gone = judged.filter("not kept").select("_id", F.col("_t").alias("_h")).distinct()
+    """``docs`` without the rows that ``near_duplicates`` does not keep, so that the document with
+    the smallest id is left of each component. Columns stay as they are. Rows that repeat both id
+    and text are one document and stay or go together; rows without shingles all stay."""
+    gone = near_duplicates(docs, **choices).filter("not kept").select(
+        F.col("doc_id").alias("_id"), F.col("_t").alias("_h")).distinct()
     keyed = docs.withColumns({"_key_id": F.col("doc_id"), "_key_text": F.xxhash64("text")})
     left = keyed.join(gone, F.col("_key_id").eqNullSafe(F.col("_id"))
                       & (F.col("_key_text") == F.col("_h")), "left_anti")
