@@ -38,7 +38,7 @@ BASE = [
     Rule("assign", r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?"
                    r"([A-Za-z0-9+/_.=-]+)", 12, 2),
     Rule("access", "AKIA[A-Z0-9]+", 18),
-    Rule("hex", "[0-9a-f]+", 16),
+    Rule("hex", "[0-9a-f]{16,}", 16),  # runs of 16 or more are what is left of all runs
 ]
 EXTRA = [
     Rule("hosting", "gh[oprsu]_[A-Za-z0-9]+", 40),
@@ -124,12 +124,9 @@ def _ends(lengths: Column) -> Column:
         lambda x, n: F.array_append(x, n + F.coalesce(F.try_element_at(x, F.lit(-1)), F.lit(0))))
 
 
-def rule_spans(text: Column, rule: Rule, place: int) -> Column:
+def rule_spans(text: Column, rule: Rule, place: int, matches: Column, judged: Column) -> Column:
     """(start, place, end) of each counted match, in characters. Cutting a text at the matches
     leaves what lies between them, so running lengths of both give the places."""
-    pattern = F.lit(rule.pattern)
-    matches = F.regexp_extract_all(text, pattern, F.lit(0))
-    judged = F.regexp_extract_all(text, pattern, F.lit(rule.group)) if rule.group else matches
     between = F.slice(F.split(text, rule.pattern), 1, F.size(matches))
     steps = F.zip_with(between, matches, lambda a, b: F.length(a) + F.length(b))
     spans = F.zip_with(
@@ -137,9 +134,8 @@ def rule_spans(text: Column, rule: Rule, place: int) -> Column:
         lambda e, m: F.struct(
             (e["end"] - F.length(m)).alias("start"), F.lit(place).alias("place"),
             e["end"].alias("end"), (F.length(e["judged"]) >= rule.least).alias("counts")))
-    kept = F.transform(F.filter(spans, lambda s: s["counts"]), lambda s: F.struct(
+    return F.transform(F.filter(spans, lambda s: s["counts"]), lambda s: F.struct(
         s["start"].alias("start"), s["place"].alias("place"), s["end"].alias("end")))
-    return F.when(text.rlike(rule.pattern), kept)
 
 
 def secret_spans(docs: DataFrame, rules: Sequence[Rule] = (*BASE, *EXTRA)) -> DataFrame:
@@ -155,13 +151,19 @@ def secret_spans(docs: DataFrame, rules: Sequence[Rule] = (*BASE, *EXTRA)) -> Da
     marked = keyed.join(candidates(docs, rules), "_key", "left")
     text, none = F.coalesce(F.col("text"), F.lit("")), F.array().cast(
         "array<struct<start:int,place:int,end:int>>")
-    found = []
+    matched, found = {}, []
     for place, (rule, query) in enumerate(zip(rules, queries, strict=True)):
-        spans = rule_spans(text, rule, place)
+        wanted = text.rlike(rule.pattern)
         if query is not None:
-            spans = F.when(F.array_contains("_rules", place), spans)
-        found.append(F.coalesce(spans, none))
-    return marked.withColumn("secrets", F.array_sort(F.concat(*found))).drop("_key", "_rules")
+            wanted = F.array_contains("_rules", place) & wanted
+        for group in {0, rule.group}:
+            matched[f"_m{place}_{group}"] = F.when(
+                wanted, F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(group)))
+        matches, judged = F.col(f"_m{place}_0"), F.col(f"_m{place}_{rule.group}")
+        found.append(F.when(matches.isNotNull(), rule_spans(text, rule, place, matches, judged)))
+    spans = F.array_sort(F.concat(*[F.coalesce(f, none) for f in found]))
+    return marked.withColumns(matched).withColumn("secrets", spans).drop(
+        "_key", "_rules", *matched)
 
 
 def span_string(spans: Column, rules: Sequence[Rule]) -> Column:
