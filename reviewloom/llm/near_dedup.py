@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewloom.llm.graph import stars
-from reviewloom.llm.text import stored
+from reviewloom.llm.text import shelve, stored
 
 BANDS = 40
 ROWS = 5  # a pair of similarity 0.8 shares no bucket with probability 1e-7
@@ -286,7 +286,8 @@ def without_copies(docs: DataFrame, **choices) -> DataFrame:
     and text are one document and stay or go together; rows without shingles all stay."""
     gone = near_duplicates(docs, **choices).filter("not kept").select(
         F.col("doc_id").alias("_id"), F.col("_t").alias("_h")).distinct()
-    keyed = docs.withColumns({"_key_id": F.col("doc_id"), "_key_text": F.xxhash64("text")})
+    rows, back = shelve(docs, ["doc_id", "text"], [])
+    keyed = rows.withColumns({"_key_id": F.col("doc_id"), "_key_text": F.xxhash64("text")})
     left = keyed.join(gone, F.col("_key_id").eqNullSafe(F.col("_id"))
                       & (F.col("_key_text") == F.col("_h")), "left_anti")
-    return left.drop("_key_id", "_key_text")
+    return back(left)

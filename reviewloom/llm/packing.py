@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewloom.llm.bpe import read_vocabulary, worker_encoder
-from reviewloom.llm.text import stored
+from reviewloom.llm.text import shelve, stored
 
 CAPACITY = 4096
 END_ID = 1
@@ -139,8 +139,8 @@ def pack(
     one. Rows move without their other columns; those are joined back at the end. Which of equally
     long pieces shares a sequence with which depends on row order only. No rows in, no rows out.
     """
-    rows = stored(pieces.drop("sequence_id", "offset").withColumn(
-        "_row", F.monotonically_increasing_id()), "pieces")
+    inside, back = shelve(pieces, ["length"], ["sequence_id", "offset"])
+    rows = stored(inside.withColumn("_row", F.monotonically_increasing_id()), "pieces")
     placed = stored(_packed(rows, rows.count(), 0, capacity, group), "packed")
     for turn in range(1, rounds + 1):
         gaps = placed.filter("_gap > 0")
@@ -154,7 +154,7 @@ def pack(
         if again.agg(F.sum("_bins")).first()[0] >= used:
             break
         placed = placed.filter("_gap <= 0").unionByName(again)
-    return rows.join(placed.drop("_bins", "_gap"), "_row").drop("_row")
+    return back(rows.join(placed.drop("_bins", "_gap"), "_row"))
 
 
 def packing_bound(pieces: DataFrame, *, capacity: int = CAPACITY) -> int:

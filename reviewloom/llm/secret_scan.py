@@ -18,6 +18,8 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reviewloom.llm.text import shelve
+
 MOST_WAYS = 256  # alternatives a pattern may unfold into before parts of it count as gaps
 WIDEST_CLASS = 8  # characters of a class that are unfolded
 GAP = None
@@ -147,8 +149,9 @@ def secret_spans(docs: DataFrame, rules: Sequence[Rule] = (*BASE, *EXTRA)) -> Da
     empty list. Every row has its own result; repeated rows, null ids and ties need no rule.
     """
     queries = [trigram_query(r.pattern) for r in rules]
-    keyed = docs.drop("secrets").withColumn("_key", F.xxhash64("text"))
-    marked = keyed.join(candidates(docs, rules), "_key", "left")
+    rows, back = shelve(docs, ["text"], ["secrets"])
+    keyed = rows.withColumn("_key", F.xxhash64("text"))
+    marked = keyed.join(candidates(rows, rules), "_key", "left")
     text, none = F.coalesce(F.col("text"), F.lit("")), F.array().cast(
         "array<struct<start:int,place:int,end:int>>")
     matched, found = {}, []
@@ -162,8 +165,7 @@ def secret_spans(docs: DataFrame, rules: Sequence[Rule] = (*BASE, *EXTRA)) -> Da
         matches, judged = F.col(f"_m{place}_0"), F.col(f"_m{place}_{rule.group}")
         found.append(F.when(matches.isNotNull(), rule_spans(text, rule, place, matches, judged)))
     spans = F.array_sort(F.concat(*[F.coalesce(f, none) for f in found]))
-    return marked.withColumns(matched).withColumn("secrets", spans).drop(
-        "_key", "_rules", *matched)
+    return back(marked.withColumns(matched).withColumn("secrets", spans))
 
 
 def span_string(spans: Column, rules: Sequence[Rule]) -> Column:
@@ -182,7 +184,8 @@ def redact(docs: DataFrame, rules: Sequence[Rule] = (*BASE, *EXTRA), mark: str =
            ) -> DataFrame:
     """``docs`` whose texts have ``mark`` in place of every stretch of characters in a span. Rows
     without spans, null texts among them, stay as they are."""
-    found = secret_spans(docs, rules)
+    rows, back = shelve(docs, ["text"], [])
+    found = secret_spans(rows, rules)
     text = F.col("text")
 
     def step(x: Column, s: Column) -> Column:
@@ -196,8 +199,7 @@ def redact(docs: DataFrame, rules: Sequence[Rule] = (*BASE, *EXTRA), mark: str =
     done = F.aggregate(
         "secrets", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
         lambda x: F.concat(x["out"], F.substr(text, x["at"] + 1)))
-    return found.withColumn("text", F.when(F.size("secrets") > 0, done).otherwise(text)).select(
-        docs.columns)
+    return back(found.withColumn("text", F.when(F.size("secrets") > 0, done).otherwise(text)))
 
 
 def _spans_sql(rule: Rule, place: int) -> str:

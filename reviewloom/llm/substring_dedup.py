@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewloom.llm.near_dedup import WordHashes
+from reviewloom.llm.text import shelve
 
 WINDOW = 13
 MINIMISER = 3  # words hashed together
@@ -246,9 +247,10 @@ def substring_dedup(docs: DataFrame, *, window: int = WINDOW) -> DataFrame:
     """
     spans = repeated_spans(docs, window).groupBy("_id", "_mark").agg(
         F.collect_list("start").alias("_starts"), F.collect_list("end").alias("_ends"))
-    rows = docs.drop("n_words", "n_removed", "kept_text").withColumns({
+    inside, back = shelve(docs, ["doc_id", "text"], ["n_words", "n_removed", "kept_text"])
+    rows = inside.withColumns({
         "_id": F.coalesce("doc_id", F.lit(int(NO_ID))), "_mark": _mark()})
     without = F.pandas_udf(_without, "n_words long, n_removed long, kept_text string")
     out = rows.join(spans, ["_id", "_mark"], "left").withColumn(
         "_r", without("text", "_starts", "_ends"))
-    return out.drop("_id", "_mark", "_starts", "_ends").select("*", "_r.*").drop("_r")
+    return back(out.select("*", "_r.*"))

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewloom.llm.bpe import Encoder, read_vocabulary, worker_encoder
+from reviewloom.llm.text import shelve
 
 FREQUENT = 32_768  # entries of the broadcast table, about 1 MB
 PER_TASK = 8_192  # pre-tokens a task reports
@@ -63,6 +64,7 @@ def token_counts(docs: DataFrame, vocabulary_path: str, *, limit: int = LIMIT) -
             yield pd.Series(list(encoder.lengths(texts.tolist())), dtype="int64")
 
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.drop("n_bytes", "n_tokens", "over_limit").withColumns({
+    rows, back = shelve(docs, ["text"], ["n_bytes", "n_tokens", "over_limit"])
+    return back(rows.withColumns({
         "n_bytes": F.octet_length(text).cast("long"), "n_tokens": count(text),
-    }).withColumn("over_limit", F.col("n_tokens") > limit)
+    }).withColumn("over_limit", F.col("n_tokens") > limit))

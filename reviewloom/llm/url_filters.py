@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewloom.llm.text import ascii_lower
+from reviewloom.llm.text import ascii_lower, shelve
 
 # verdict, host, path
 RULES = [
@@ -98,17 +98,18 @@ def url_filters(
     """
     new = ["host", "path", "rule", "n_strict", "n_soft", "verdict"]
     host, path = host_and_path(F.col("url"))
-    out = pages.drop(*new).withColumns({"host": host, "path": path}).withColumns({
+    rows, back = shelve(pages, ["url"], new)
+    out = rows.withColumns({"host": host, "path": path}).withColumns({
         "_rule": fitting_rule(F.col("host"), F.col("path"), rules),
         "_terms": term_counter(strict, soft)(ascii_lower(F.coalesce(F.col("url"), F.lit("")))),
     })
     bad = (F.col("_terms.n_strict") > 0) | (F.col("_terms.n_soft") >= soft_hits)
     blocked = F.when(F.col("_rule").isNull(), bad).otherwise(F.col("_rule.blocks"))
-    return out.withColumns({
+    return back(out.withColumns({
         "rule": F.col("_rule.rule"), "n_strict": F.col("_terms.n_strict"),
         "n_soft": F.col("_terms.n_soft"),
         "verdict": F.when(blocked, "block").otherwise("allow"),
-    }).drop("_rule", "_terms")
+    }))
 
 
 def _matches(term: str) -> str:

@@ -1,0 +1,191 @@
+"""Operators that judge each row by itself: quality rules, token counts, URLs, secrets."""
+
+import hashlib
+import math
+import re
+from collections import Counter
+
+import pytest
+import xxhash
+from tokenizers import Tokenizer
+
+from reviewloom.llm import quality_rules as quality
+from reviewloom.llm import secret_scan as secrets
+from reviewloom.llm import url_filters as urls
+from reviewloom.llm.bpe import Encoder, read_vocabulary
+from reviewloom.llm.queries import VOCABULARY
+from reviewloom.llm.token_counts import token_counts
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+GOOD = " ".join(f"plain{k % 40} words{k % 7} here" for k in range(60))
+TEXTS = [
+    (1, None), (2, ""), (3, " \t\n"), (4, GOOD), (4, GOOD), (None, GOOD),
+    (5, "one two three four five six seven eight nine ten " * 5),
+    (6, "a # b\na # b\n\nc $ d\nc $ d \n" * 3), (7, "Ünïcödé   text 👍👍 <|>"),
+    (8, "x y " * 40_000),
+]
+
+
+def docs_of(spark, rows, extra=True):
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    if extra:  # names that operators use inside or return
+        df = df.selectExpr("*", "doc_id AS kept", "'e' AS _h", "1 AS _key", "text AS Score",
+                           "2 AS secrets", "3 AS n_tokens", "4 AS `odd.name`")
+    return df
+
+
+def base_measures(text):
+    words = WORD.findall(text or "")
+    windows = Counter(tuple(words[i:i + 8]) for i in range(len(words) - 7))
+    covered = {j for i in range(len(words) - 7) if windows[tuple(words[i:i + 8])] > 1
+               for j in range(i, i + 8)}
+    lines = [x for x in (text or "").split("\n") if WORD.search(x)]
+    return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")),
+            len(lines) - len(set(lines)), len(covered))
+
+
+def grams(text):
+    hashed = [xxhash.xxh64_intdigest(w.encode(), 42) for w in WORD.findall(text or "")]
+    pairs = [xxhash.xxh64_intdigest(b.to_bytes(8, "little"), a_) for a_, b in (
+        (xxhash.xxh64_intdigest(a.to_bytes(8, "little"), 42), b)
+        for a, b in zip(hashed, hashed[1:], strict=False))]
+    signed = [h - (1 << 64) if h >> 63 else h for h in hashed + pairs]
+    return [h % quality.BUCKETS for h in signed]
+
+
+def test_quality_rules_by_brute_force(spark):
+    labels = spark.createDataFrame(
+        [(4, 1, 0), (4, 1, None), (5, 1, 1), (6, 0, 0), (None, 1, 0)],
+        "doc_id long, quality int, toxic int")
+    df = quality.quality_rules(docs_of(spark, TEXTS), labels)
+    assert df.columns[:2] == ["doc_id", "text"] and "odd.name" in df.columns
+    rows = df.collect()
+    assert len(rows) == len(TEXTS)
+    raw, good = Counter(), Counter()
+    for doc_id, text in TEXTS:
+        raw.update(grams(text))
+        good.update(grams(text) if doc_id == 4 else ())
+    n, m = sum(raw.values()), sum(good.values())
+
+    def score(text):
+        g = grams(text)
+        return sum(math.log((good[b] + 1) / (m + quality.BUCKETS))
+                   - math.log((raw[b] + 1) / (n + quality.BUCKETS)) for b in g) / max(len(g), 1)
+
+    for r in rows:
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines,
+                r.n_repeat_words) == base_measures(r.text)
+        assert r.base_failed == (r.n_words < 20 or 100 * r.n_repeat_words > 30 * r.n_words)
+        assert r.score == pytest.approx(score(r.text), abs=1e-6)
+        assert r.kept == (not r.base_failed and r.score >= quality.THRESHOLD)
+
+
+def test_quality_rules_without_rows_or_trust(spark):
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert quality.quality_rules(docs_of(spark, []), labels).count() == 0
+    rows = quality.quality_rules(docs_of(spark, TEXTS), labels).collect()
+    assert {r.score for r in rows} == {0.0}
+
+
+def test_token_counts_are_the_library_s(spark):
+    texts = [t for _, t in TEXTS] + ["it's <|endoftext|> done", "ΣΑΣ İstanbul \x1c\x85x", "é"]
+    rows = token_counts(docs_of(spark, list(enumerate(texts))), VOCABULARY).collect()
+    library = Tokenizer.from_file(VOCABULARY)
+    for r in rows:
+        want = len(library.encode(r.text or "", add_special_tokens=False).ids)
+        assert (r.n_bytes, r.n_tokens, r.over_limit) == (
+            len((r.text or "").encode()), want, want > 2048)
+    assert token_counts(docs_of(spark, []), VOCABULARY).count() == 0
+
+
+def test_every_latin_character_is_cut_as_by_the_library():
+    library, encoder = Tokenizer.from_file(VOCABULARY), Encoder(read_vocabulary(VOCABULARY))
+    texts = [f(chr(c)) for c in range(0x600) for f in (
+        str, lambda c: f"a{c}b", lambda c: f"1{c}2 x'S{c}!!'s")]
+    for text, length in zip(texts, encoder.lengths(texts), strict=True):
+        assert length == len(library.encode(text, add_special_tokens=False).ids), repr(text)
+
+
+def test_urls(spark):
+    cases = {
+        None: ("", "", None, "allow"), "": ("", "", None, "allow"),
+        "no scheme/en/": ("", "", None, "allow"),
+        "http://EXAMPLE.com/en/1": ("example.com", "/en/1", "example.com/en/", "block"),
+        "http://a.www.example.com/en/1": (
+            "a.www.example.com", "/en/1", "www.example.com/en/", "allow"),
+        "http://www.example.com/de?x=/en/": ("www.example.com", "/de", "com/", "allow"),
+        "https://a.net/es/": ("a.net", "/es/", "net/es/", "block"),
+        "https://a.net": ("a.net", "", None, "allow"),
+        "https://xcom/": ("xcom", "/", None, "allow"),
+        "http://a.org/PORN-site": ("a.org", "/PORN-site", None, "block"),
+        "http://a.org/pornography": ("a.org", "/pornography", None, "allow"),
+        "http://a.org/casino/casino": ("a.org", "/casino/casino", None, "allow"),
+        "http://a.org/casino_poker": ("a.org", "/casino_poker", None, "block"),
+    }
+    rows = [(k, u) for k, u in enumerate(cases)]
+    df = spark.createDataFrame(rows, "page_id long, url string").selectExpr(
+        "*", "'x' AS host", "'y' AS _rule")
+    got = {r.url: (r.host, r.path, r.rule, r.verdict) for r in urls.url_filters(df).collect()}
+    assert got == cases
+    assert urls.url_filters(df.limit(0)).count() == 0
+    plain = urls.url_filters(df, rules=[], strict=[], soft=[]).collect()
+    assert {r.verdict for r in plain} == {"allow"}
+
+
+KEY = "AKIA" + "ABCDEFGH12345678"
+SECRETS = [
+    f"Password = \"{'a' * 12}\" and {KEY}", "token:short", "token=token:abcdefghijklmnop",
+    "👍 api_key='0123456789abcdef0123'", "apikey: " + "x" * 11, "AKIA" + "A" * 13,
+    "deadbeef" * 2 + " " + "deadbeef", "ghp_" + "a1" * 20, "-----BEGIN RSA PRIVATE KEY-----",
+    "secret=" * 3 + "abcdefghijklmn", None, "", "pass wor ord ssw swo", "x " * 50_000 + KEY,
+]
+
+
+def spans_of(text, rule):
+    found = re.finditer(rule.pattern, text or "")
+    return [(m.start(), m.end()) for m in found if len(m[rule.group]) >= rule.least]
+
+
+def test_secrets_by_brute_force(spark):
+    rules = [*secrets.BASE, *secrets.EXTRA]
+    df = docs_of(spark, list(enumerate(SECRETS)) + [(0, SECRETS[0]), (None, SECRETS[3])])
+    rows = secrets.secret_spans(df).collect()
+    assert len(rows) == len(SECRETS) + 2
+    for r in rows:
+        want = sorted((a, k, b) for k, rule in enumerate(rules) for a, b in spans_of(r.text, rule))
+        assert [tuple(s) for s in r.secrets] == want, r.text
+    hexes = re.compile("[0-9a-f]+")
+    for text in filter(None, SECRETS):
+        assert spans_of(text, secrets.BASE[2]) == [
+            (m.start(), m.end()) for m in hexes.finditer(text) if len(m[0]) >= 16]
+    assert secrets.secret_spans(docs_of(spark, [])).count() == 0
+
+
+def test_redaction_leaves_the_rest(spark):
+    df = docs_of(spark, [(1, f"a {KEY} b 👍 password={KEY} c"), (2, None), (3, "clean text")])
+    out = secrets.redact(df)
+    assert out.columns == df.columns
+    assert {r.doc_id: r.text for r in out.collect()} == {
+        1: "a [secret] b 👍 [secret] c", 2: None, 3: "clean text"}
+
+
+def test_trigram_queries():
+    query = secrets.trigram_query
+    assert query("[0-9a-f]+") is None
+    assert query("abc|x*") is None
+    assert query("abcd") == [frozenset({"abc", "bcd"})]
+    assert query("ab_?cd") == [frozenset({"ab_", "b_c", "_cd"}), frozenset({"abc", "bcd"})]
+    assert query("(?i:ABC)+z") == [frozenset({"abc"})]
+    for rule in (*secrets.BASE, *secrets.EXTRA):
+        for text in filter(None, SECRETS):
+            alternatives = query(rule.pattern)
+            if re.search(rule.pattern, text) and alternatives:
+                assert any(all(t in text.lower() for t in a) for a in alternatives)
+
+
+def test_span_digest(spark):
+    rules = [*secrets.BASE, *secrets.EXTRA]
+    row = secrets.secret_spans(docs_of(spark, [(1, SECRETS[3])])).select(
+        secrets.span_string(secrets.F.col("secrets"), rules).alias("s")).first()
+    assert row.s == "assign:2:31,hex:11:31"
+    assert len(hashlib.sha256(row.s.encode()).hexdigest()) == 64
