@@ -51,8 +51,8 @@ def _window_hashes(tokens: Sequence[int], marked: Sequence[bool], size: int):
 def greedy_tiles(doc: Sequence[int], item: Sequence[int], least: int = LEAST,
                  ) -> list[tuple[int, int, int]]:
     """Tiles (start in ``doc``, start in ``item``, length). The search length halves from the
-    item's length down to ``least``; all matches of at least that length are marked before it
-    shrinks, longest first, then by place."""
+    item's length down to ``least``. At each length the longest matches are marked, in the order of
+    their places, and the search is run again until it finds none."""
     tiles, in_doc, in_item = [], [False] * len(doc), [False] * len(item)
     size = max(len(item), least)
     while True:
@@ -70,7 +70,8 @@ def greedy_tiles(doc: Sequence[int], item: Sequence[int], least: int = LEAST,
                     if k >= size:
                         matches.append((-k, d, i))
             fresh = False
-            for k, d, i in sorted(matches):
+            longest = min(matches)[0] if matches else 0
+            for k, d, i in sorted(m for m in matches if m[0] == longest):
                 if not any(in_doc[d:d - k]) and not any(in_item[i:i - k]):
                     in_doc[d:d - k] = in_item[i:i - k] = [True] * -k
                     tiles.append((d, i, -k))
