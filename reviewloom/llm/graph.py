@@ -29,16 +29,20 @@ def _small_star(links: DataFrame) -> DataFrame:
     return moved.unionByName(kept).filter("a <> b").distinct()
 
 
+def _are_stars(links: DataFrame) -> bool:
+    """Whether every node is either a centre or linked to one centre only."""
+    ends = links.select(F.col("a").alias("x"), F.lit(1).alias("_a"), F.lit(0).alias("_b")).unionAll(
+        links.select(F.col("b"), F.lit(0), F.lit(1)))
+    roles = ends.groupBy("x").agg(F.max("_a").alias("_a"), F.sum("_b").alias("_b"))
+    return roles.filter("_a + _b > 1").isEmpty()
+
+
 def stars(links: DataFrame) -> DataFrame:
     """Links ``a < b`` of numbers, turned into links from each component's smallest number ``a`` to
-    every other one ``b``. Large and small stars alternate until nothing changes; a node with very
-    many links is never gathered, only joined and aggregated."""
-    state = links.filter("a <> b").select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    seen = None
-    while True:
+    every other one ``b``. Large and small stars alternate until nothing else is left; a node with
+    very many links is never gathered, only joined and aggregated."""
+    state = stored(links.filter("a <> b").select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
+    while not _are_stars(state):
         state = stored(_small_star(_large_star(state)), "links")
-        now = state.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
-        if now == seen:
-            return state
-        seen = now
+    return state

@@ -160,46 +160,52 @@ def _labelled(members: DataFrame, comps: DataFrame) -> DataFrame:
                         ).withColumn("comp", F.coalesce("_c", "n")).drop("_c")
 
 
-def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
-    """The pairs whose ends are in different components."""
-    for end in ("a", "b"):
-        named = comps.select(F.col("b").alias(end), F.col("a").alias(f"_{end}"))
-        pairs = pairs.join(named, end, "left")
-    return pairs.filter(F.coalesce("_a", "a") != F.coalesce("_b", "b")).drop("_a", "_b")
-
+def _block_links(
+    members: DataFrame, width: int, size: int, percent: int, miss: float,
+) -> DataFrame:
+    """Links between different components inside each group, as many as connect what is connected.
 
-def _block_pairs(members: DataFrame, width: int, threshold: float, miss: float) -> DataFrame:
-    """Surviving pairs from different components inside each bucket. A bucket is dealt to blocks,
-    and every two blocks meet in a task of their own, so its size doesn't matter."""
-    steps = checkpoints(width, threshold, miss)
-    sizes = members.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("_k"))
-    dealt = members.join(sizes, "bucket").withColumn(
+    A group is dealt to blocks, and every two blocks meet in a task of their own, so its size
+    doesn't matter. There candidates are pruned by their signatures and confirmed on their shingle
+    sets; pairs that a link has already joined are passed over, so no task gives more links than it
+    has members.
+    """
+    steps = checkpoints(width, percent / 100, miss)
+    sizes = members.groupBy("centre").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("_k"))
+    dealt = members.join(sizes, "centre").withColumn(
         "_i", F.pmod(F.xxhash64("n"), F.col("_k")).cast("int"))
     met = dealt.withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_k") - 1))).select(
-        "bucket", F.least("_i", "_j").alias("_lo"), F.greatest("_i", "_j").alias("_hi"),
-        "_i", "n", "comp", "sig")
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("m", pa.int32())])
+        "centre", F.least("_i", "_j").alias("_lo"), F.greatest("_i", "_j").alias("_hi"),
+        "_i", "n", "comp", "sig", "text")
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def compare(table: pa.Table) -> pa.Table:
         n, comp, block = (table.column(c).to_numpy() for c in ("n", "comp", "_i"))
         sigs = _table(table.column("sig").to_pylist(), width)
+        known = WordHashes()
+        sets = [set(shingle_hashes(t, size, known).tolist())
+                for t in table.column("text").to_pylist()]
         lo, hi = table.column("_lo")[0].as_py(), table.column("_hi")[0].as_py()
-        mine = np.flatnonzero(block == hi)
-        out = []
-        for i in np.flatnonzero(block == lo):
+        comp, mine, links = comp.copy(), np.flatnonzero(block == hi), []
+        for i in np.flatnonzero(block == lo).tolist():
             others = mine[comp[mine] != comp[i]]
             if lo == hi:
                 others = others[others > i]
-            if len(others):
-                found = surviving(np.broadcast_to(sigs[i], (len(others), width)), sigs[others],
-                                  steps)
-                for j, m in zip(others[found >= 0], found[found >= 0], strict=True):
-                    out.append((min(n[i], n[j]), max(n[i], n[j]), m))
-        columns = list(zip(*out, strict=True)) or [[], [], []]
-        return pa.Table.from_arrays(
-            [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
-
-    return met.groupBy("bucket", "_lo", "_hi").applyInArrow(compare, "a long, b long, m int")
+            found = surviving(np.broadcast_to(sigs[i], (len(others), width)), sigs[others], steps)
+            for k in np.argsort(-found, kind="stable").tolist():
+                j = int(others[k])
+                if found[k] < 0:
+                    break
+                if comp[i] != comp[j]:
+                    both = len(sets[i] & sets[j])
+                    if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+                        links.append((min(n[i], n[j]), max(n[i], n[j])))
+                        comp[comp == comp[j]] = comp[i]
+        a, b = zip(*links, strict=True) if links else ([], [])
+        return pa.Table.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())],
+                                    schema=schema)
+
+    return met.groupBy("centre", "_lo", "_hi").applyInArrow(compare, "a long, b long")
 
 
 def near_duplicates(
@@ -236,38 +242,32 @@ def near_duplicates(
     centres = ranked.groupBy("bucket").agg(
         F.min(F.struct(-F.col("_degree"), "n")).alias("_r")).select(
         "bucket", F.col("_r.n").alias("_centre"))
-    spokes = members.join(centres, "bucket").filter("n <> _centre").select(
-        F.least("n", "_centre").alias("a"), F.greatest("n", "_centre").alias("b")).distinct()
+    # a group: the nodes that share some bucket with its centre
+    groups = stored(members.join(centres, "bucket").select(
+        F.col("_centre").alias("centre"), "n").distinct(), "groups")
     sigs = nodes.select("n", "sig")
     compare = agreements(width, threshold, miss)
-    tested = spokes.join(sigs.toDF("a", "_x"), "a").join(sigs.toDF("b", "_y"), "b")
-    pairs = stored(tested.withColumn("m", compare("_x", "_y")).filter("m >= 0").select(
-        "a", "b", "m"), "pairs")
+    spokes = groups.filter("n <> centre").select(F.col("centre").alias("a"), F.col("n").alias("b"))
+    pairs = spokes.join(sigs.toDF("a", "_x"), "a").join(sigs.toDF("b", "_y"), "b").filter(
+        compare("_x", "_y") >= 0).select("a", "b")
 
     # texts of all nodes that share a bucket with others
-    some = members.select("n").distinct().join(nodes.select("n", "doc_id", "_t"), "n")
-    wanted = some.select("n", F.col("doc_id").alias("_d"), F.col("_t").alias("_h"))
+    some = groups.select("n").distinct().join(nodes, "n")
+    wanted = some.select("n", F.col("doc_id").alias("_d"), F.col("_t").alias("_h"), "sig")
     texts = stored(docs.select("doc_id", "text", F.xxhash64("text").alias("_t")).join(
         wanted, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_t") == F.col("_h"))
-    ).select("n", "text"), "texts")
-
+    ).select("n", "sig", "text"), "texts")
     comps = stars(exact_links(pairs, texts, size, percent))
 
-    # buckets that still hold several components: first each node's best partner, then all others
-    named = _labelled(members, comps)
-    mixed = named.groupBy("bucket").agg(
+    # groups that still hold several components are compared in full
+    named = _labelled(groups, comps)
+    mixed = named.groupBy("centre").agg(
         F.min("comp").alias("_lo"), F.max("comp").alias("_hi"), F.count("*").alias("_n")
-    ).filter("_lo <> _hi and _n > 2").select("bucket")
-    rest = stored(_block_pairs(
-        named.join(mixed, "bucket").join(sigs, "n").select("bucket", "n", "comp", "sig"),
-        width, threshold, miss).distinct().join(pairs.select("a", "b"), ["a", "b"], "left_anti"),
-        "rest")
-    best = rest.groupBy("a").agg(F.max(F.struct("m", "b")).alias("_r")).select("a", "_r.b")
-    best = best.unionByName(rest.groupBy("b").agg(F.max(F.struct("m", "a")).alias("_r")).select(
-        F.col("_r.a").alias("a"), "b")).distinct()
-    comps = stars(comps.unionByName(exact_links(best, texts, size, percent)))
-    last = _apart(rest.select("a", "b"), comps).join(best, ["a", "b"], "left_anti")
-    comps = stars(comps.unionByName(exact_links(last, texts, size, percent)))
+    ).filter("_lo <> _hi and _n > 2").select("centre")
+    more = stored(_block_links(
+        named.join(mixed, "centre").join(texts, "n"), width, size, percent, miss), "links")
+    if not more.isEmpty():
+        comps = stars(comps.unionByName(more))
 
     # smallest id of each component
     grouped = _labelled(nodes.select("n", "node", "doc_id"), comps)

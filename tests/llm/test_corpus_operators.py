@@ -113,16 +113,17 @@ def test_without_copies_keeps_columns(spark):
     assert near_dedup.without_copies(df.limit(0)).count() == 0
 
 
-def test_blocks_of_a_large_bucket_meet(spark, monkeypatch):
+def test_blocks_of_a_large_group_meet(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "BLOCK", 3)
     sigs = np.arange(10)[:, None].repeat(200, 1).astype("<u2")
-    sigs[7] = sigs[2]
-    rows = [(1, k, k, sigs[k].tobytes()) for k in range(10)] + [(2, 1, 5, sigs[1].tobytes())]
-    df = spark.createDataFrame(
-        [(b, n, c, bytearray(s)) for b, n, c, s in rows],
-        "bucket long, n long, comp long, sig binary")
-    got = near_dedup._block_pairs(df, 200, 0.8, 1e-6).collect()
-    assert {tuple(r) for r in got} == {(2, 7, 200)}
+    sigs[7] = sigs[5] = sigs[2]
+    texts = [f"a b c {k}" for k in range(10)]
+    texts[7] = texts[5] = texts[2]
+    rows = [(1, k, k, bytearray(sigs[k].tobytes()), texts[k]) for k in range(10)]
+    rows.append((2, 1, 5, bytearray(sigs[1].tobytes()), texts[1]))
+    df = spark.createDataFrame(rows, "centre long, n long, comp long, sig binary, text string")
+    got = {tuple(r) for r in near_dedup._block_links(df, 200, 2, 80, 1e-6).collect()}
+    assert got <= {(2, 7), (2, 5), (5, 7)} and len(got) >= 2
 
 
 def test_posterior_bounds():
