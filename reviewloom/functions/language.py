@@ -16,8 +16,15 @@ STOP_WORDS: dict[str, list[str]] = {
     "en": ["the", "and", "is", "of", "to", "it", "that", "for", "with", "this", "are", "was"],
     "es": ["el", "los", "y", "por", "con", "para", "las", "una", "del", "se", "como", "más"],
     "fr": ["le", "les", "et", "des", "est", "une", "pour", "dans", "qui", "du", "avec", "pas"],
+    "id": ["yang", "tidak", "untuk", "dengan", "ini", "saya", "dari", "sangat", "bisa"],
+    "it": ["gli", "è", "sono", "della", "anche", "più", "questo", "perché", "molto", "nella"],
+    "nl": ["het", "een", "niet", "voor", "zijn", "maar", "ook", "deze", "wordt", "naar"],
+    "pl": ["jest", "się", "że", "czy", "ale", "bardzo", "tego", "jak", "przez", "tylko"],
+    "pt": ["não", "uma", "muito", "são", "você", "também", "isso", "pelo", "mais", "ele"],
+    "tr": ["bir", "çok", "için", "bu", "değil", "ama", "daha", "gibi", "olarak", "ile"],
 }
 UNDETERMINED = "und"
+OTHER = "other"
 
 
 def detect_language(
@@ -25,6 +32,8 @@ def detect_language(
 ) -> Column:
     """Language with the most hits, ties to the first name, no hit at all undetermined.
 
+    The word lists are of languages in Latin letters. A text most of whose letters are of another
+    script is of another language; a text with no letters shows no evidence.
     The text is split once; the one-element ``transform`` binds the tokens for all languages.
     """
     text = F.lower(F.col(col) if isinstance(col, str) else col)
@@ -43,4 +52,6 @@ def detect_language(
         return F.array_max(F.array(*langs, entry(F.lit(0), 1, UNDETERMINED)))
 
     best = F.element_at(F.transform(F.array(F.split(text, f"{NOT_WORD}+")), score), 1)
-    return best["lang"]
+    foreign = F.length(F.regexp_replace(text, r"[^\p{L}]|\p{IsLatin}", ""))
+    letters = F.length(F.regexp_replace(text, r"[^\p{L}]", ""))
+    return F.when(2 * foreign > letters, OTHER).otherwise(best["lang"])

@@ -36,18 +36,15 @@ def class_needs(df: DataFrame, label: str, by: Sequence[str] = ()) -> DataFrame:
 
 
 def expand_copies(
-    df: DataFrame, extra: str, id_col: str, most: int, per_task: int = COPIES_PER_TASK
+    df: DataFrame, extra: str, id_col: str, per_task: int = COPIES_PER_TASK
 ) -> DataFrame:
-    """Each row as copy 0 plus ``extra`` (at most ``most``) further copies, numbered in
-    ``copy_no``. Rows with many copies are cut into pieces that are spread over tasks before they
+    """Each row as copy 0 plus ``extra`` further copies, numbered in ``copy_no``. Rows with many copies are cut into pieces that are spread over tasks before they
     unfold."""
     zero = F.lit(0).cast("long")
 
     def unfold(rows, first, last):
         return rows.withColumn("copy_no", F.explode(F.sequence(first, last)))
 
-    if most < per_task:
-        return unfold(df, zero, F.col(extra)).drop(extra)
     few = unfold(df.filter(F.col(extra) < per_task), zero, F.col(extra))
     pieces = F.sequence(zero, F.floor(F.col(extra) / F.lit(per_task)).cast("long"))
     first = F.col("_piece") * F.lit(per_task)
@@ -70,9 +67,9 @@ def draw_counts(
     pieces = F.floor((F.col("need") - 1) / F.lit(DRAWS_PER_TASK)).cast("long")
     first = F.col("_piece") * F.lit(DRAWS_PER_TASK)
     last = F.least(first + F.lit(DRAWS_PER_TASK), F.col("need")) - 1
-    pieced = table.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("long"), pieces)))
-    if sum(r["need"] for r in classes) > DRAWS_PER_TASK:
-        pieced = pieced.repartition(*group, "_piece")
+    pieced = table.withColumn(
+        "_piece", F.explode(F.sequence(F.lit(0).cast("long"), pieces))
+    ).repartition(*group, "_piece")
     draw = portable_hash(F.col("_seed"), F.col(group[-1]), F.col("_k"))
     return (
         pieced.withColumn("_k", F.explode(F.sequence(first.cast("long"), last.cast("long"))))
@@ -107,13 +104,19 @@ def oversample(
     for r in lacking:
         same = F.lit(True)
         for c in group:
-            same = same & (F.col(c) == F.lit(r[c]))
+            same = same & F.col(c).eqNullSafe(F.lit(r[c]))
         lacks = lacks | same
     copies = draw_counts(df.sparkSession, lacking, group, dict(df.dtypes))
     rows = df.filter(lacks).select(*group, id_col)
     ordinals = dense_number(rows, [id_col], "_ordinal", by=group)
-    per_row = ordinals.join(copies, [*group, "_ordinal"]).select(id_col, "_extra")
-    counted = df.join(per_row, id_col, "left").withColumn(
+    drawn = copies.select(*[F.col(c).alias(f"_d_{c}") for c in group],
+                          F.col("_ordinal").alias("_d"), "_extra")
+    met = F.col("_ordinal") == F.col("_d")
+    for c in group:
+        met = met & F.col(c).eqNullSafe(F.col(f"_d_{c}"))
+    per_row = ordinals.join(drawn, met).select(id_col, "_extra")
+    counted = df.filter(lacks).join(per_row, id_col, "left").withColumn(
         "_extra", F.coalesce("_extra", F.lit(0)).cast("long")
     )
-    return expand_copies(counted, "_extra", id_col, max(r["need"] for r in lacking))
+    rest = df.filter(~lacks).withColumn("copy_no", F.lit(0).cast("long"))
+    return rest.unionByName(expand_copies(counted, "_extra", id_col).select(rest.columns))

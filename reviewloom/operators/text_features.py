@@ -18,7 +18,6 @@ from reviewloom.functions.columns import (
     word_runs,
     word_tokens,
 )
-from reviewloom.operators.joins import BROADCAST_ROWS, fits, salted_join
 
 # Fitting limits.
 MAX_FEATURES = 15_000
@@ -26,18 +25,6 @@ NGRAM_MAX = 2
 MIN_DF = 3
 MAX_DF = 0.95
 
-# Example dictionary; any mapping aspect -> keywords can be given instead.
-ASPECTS: dict[str, list[str]] = {
-    "ui": ["ui", "user interface", "layout", "dark mode", "buttons"],
-    "performance": ["slow", "laggy", "freezes", "battery life"],
-    "login": ["login", "sign in", "password", "two-factor"],
-    "pricing": ["price", "subscription", "refund", "too expensive"],
-    "customer_support": ["support", "customer service", "no reply"],
-    "bugs": ["bug", "bugs", "crashes", "not working"],
-    "updates": ["update", "latest version", "new release"],
-    "content": ["answers", "wrong information", "outdated"],
-}
-
 
 def unfold_terms(
     df: DataFrame, text: str, ngram_max: int, keep: Sequence[str] = ()
@@ -156,74 +143,72 @@ def matrix_stats(cells: DataFrame, docs: DataFrame, vocab: DataFrame) -> DataFra
 
 # --- lexicon polarity ----------------------------------------------------------------------
 
-# Words that turn the meaning of the next scored word.
-NEGATIONS = ["no", "not", "never", "n't"]
+# Words that turn the meaning of the next scored word. A word with the contracted
+# form at its end ("don't") is one as well.
+NEGATIONS = ["no", "not", "never"]
+CONTRACTED = "n't"
 NEGATION_FACTOR = -0.5
 
 
+def folded(text: Column) -> Column:
+    """Lower case, with one kind of apostrophe."""
+    return F.replace(F.lower(text), F.lit("’"), F.lit("'"))
+
+
 def lexicon_sentiment(
     df: DataFrame,
     lexicon: DataFrame,
     text: str = "review_text",
     keep: Sequence[str] = (),
     negations: Sequence[str] = tuple(NEGATIONS),
-    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """``(sample_id, polarity, subjectivity)`` as means over the scored words of a text.
 
-    ``lexicon(word, polarity, subjectivity, intensity)`` is a table of the user, one row per
-    word. A lexicon word right after a word of intensity other than 1 is multiplied by it and
-    clipped to [-1, 1] ([0, 1] for subjectivity); the modifier itself is then not scored. After a
-    negation, also with one modifier in between, polarity is multiplied by -0.5. No scored word
-    gives 0.0 for both.
+    ``lexicon(word, polarity, subjectivity, intensity)`` is a table of the user. Words that differ
+    in case or apostrophe only are one word, with the means of their values. A lexicon word right
+    after a word of intensity other than 1 is multiplied by it and clipped to [-1, 1] ([0, 1] for
+    subjectivity); the modifier itself is then not scored. After a negation, also with one modifier
+    in between, polarity is multiplied by -0.5. No scored word gives 0.0 for both.
 
-    Tokens carry their neighbours out of the array, so no window is needed and a text's scores
-    are added up in the task that holds it. The lexicon is broadcast only if it is small enough;
-    beyond that frequent words are salted.
+    The lexicon is joined once, by word; only its words and negations go on, and look at their
+    neighbours inside their text.
     """
-    t = F.col("_t")
     tokens = F.regexp_extract_all(
-        F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(r"[\p{L}\p{N}_']+"), F.lit(0)
-    )
-    positioned = (
-        df.select("sample_id", *keep, tokens.alias("_t"))
-        .select("sample_id", *keep, "_t", F.posexplode("_t").alias("_i", "_word"))
-        .select(
-            "sample_id", *keep, "_i", "_word",
-            F.get(t, F.col("_i") - 1).alias("_prev"),
-            F.get(t, F.col("_i") - 2).alias("_prev2"),
-            F.get(t, F.col("_i") + 1).alias("_next"),
-        )
-    )
-    small = fits(lexicon, broadcast_rows)
-
-    def look_up(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:
-        if small:
-            return left.join(F.broadcast(right), key, how)
-        return salted_join(left, right, [key], how, salt_by=["sample_id", "_i"])
-
-    words = lexicon.select(
-        F.lower("word").alias("_word"), "polarity", "subjectivity",
-        F.coalesce("intensity", F.lit(1.0)).alias("_own"),
-    )
-    prev = words.filter(F.col("_own") != 1.0).select(
-        F.col("_word").alias("_prev"), F.col("_own").alias("_by")
+        folded(F.coalesce(F.col(text), F.lit(""))), F.lit(r"[\p{L}\p{N}_']+"), F.lit(0)
     )
-    nxt = words.select(F.col("_word").alias("_next"), F.lit(True).alias("_next_scored"))
-    hits = look_up(look_up(positioned, words, "_word", "inner"), nxt, "_next", "left")
-    hits = hits.filter(~((F.col("_own") != 1.0) & F.coalesce("_next_scored", F.lit(False))))
-    hits = look_up(hits, prev, "_prev", "left")
-    by = F.coalesce("_by", F.lit(1.0))
-    negs = list(negations)
-    negated = F.coalesce(F.col("_prev").isin(negs), F.lit(False)) | (
-        F.col("_by").isNotNull() & F.coalesce(F.col("_prev2").isin(negs), F.lit(False))
+    positioned = df.select("sample_id", F.posexplode(tokens).alias("_i", "_word"))
+    words = lexicon.groupBy(folded(F.col("word")).alias("_word")).agg(
+        F.avg("polarity").alias("polarity"), F.avg("subjectivity").alias("subjectivity"),
+        F.avg(F.coalesce("intensity", F.lit(1.0))).alias("_own"), F.count("*").alias("_found"),
     )
-    one, zero = F.lit(1.0), F.lit(0.0)
-    p = F.least(F.greatest(F.col("polarity") * by, F.lit(-1.0)), one)
-    s = F.least(F.greatest(F.col("subjectivity") * by, zero), one)
-    p = F.when(negated, p * F.lit(NEGATION_FACTOR)).otherwise(p)
-    scores = hits.groupBy("sample_id").agg(F.avg(p).alias("polarity"),
-                                           F.avg(s).alias("subjectivity"))
+    negation = F.col("_word").isin(list(negations)) | F.endswith(
+        F.col("_word"), F.lit(CONTRACTED))
+    marked = positioned.join(words, "_word", "left").select(
+        "sample_id", "_i", "polarity", "subjectivity", "_own",
+        F.col("_found").isNotNull().alias("_hit"), negation.alias("_neg"),
+    ).filter("_hit or _neg")
+
+    order = W.partitionBy("sample_id").orderBy("_i")
+    one, zero, no = F.lit(1.0), F.lit(0.0), F.lit(False)
+    row = F.struct("_i", "_own", "_hit", "_neg")
+    near = marked.withColumns({
+        "_p1": F.lag(row, 1).over(order), "_p2": F.lag(row, 2).over(order),
+        "_n1": F.lead(row, 1).over(order),
+    })
+    i = F.col("_i")
+    is_prev = F.coalesce(F.col("_p1._i") == i - 1, no)
+    next_hit = F.coalesce((F.col("_n1._i") == i + 1) & F.col("_n1._hit"), no)
+    by = F.when(is_prev & F.col("_p1._hit") & (F.col("_p1._own") != 1.0), F.col("_p1._own"))
+    two_back = F.coalesce((F.col("_p2._i") == i - 2) & F.col("_p2._neg"), no)
+    negated = (is_prev & F.coalesce("_p1._neg", no)) | (by.isNotNull() & two_back)
+    factor = F.coalesce(by, one)
+    p = F.least(F.greatest(F.col("polarity") * factor, F.lit(-1.0)), one)
+    s = F.least(F.greatest(F.col("subjectivity") * factor, zero), one)
+    scored = F.col("_hit") & ~((F.col("_own") != 1.0) & next_hit)
+    scores = near.select(
+        "sample_id", F.when(scored, p * F.when(negated, NEGATION_FACTOR).otherwise(1.0))
+        .alias("_p"), F.when(scored, s).alias("_s"),
+    ).groupBy("sample_id").agg(F.avg("_p").alias("polarity"), F.avg("_s").alias("subjectivity"))
     return df.select("sample_id", *keep).join(scores, "sample_id", "left").select(
         "sample_id", *keep,
         F.coalesce("polarity", zero).alias("polarity"),
@@ -242,11 +227,11 @@ def no_sentiment(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 def aspects(
     df: DataFrame,
-    dictionary: Mapping[str, Sequence[str]] = ASPECTS,
+    dictionary: Mapping[str, Sequence[str]],
     text: str = "review_text",
     keep: Sequence[str] = (),
 ) -> DataFrame:
-    """One 0/1 column per aspect, a projection without shuffle."""
+    """One 0/1 column per aspect of the user's dictionary (aspect to keywords), a projection."""
     return df.select(
         "sample_id", *keep,
         *[mentions(text, words).alias(f"aspect_{name}") for name, words in dictionary.items()],

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from reviewloom.functions.columns import share
 from reviewloom.operators.meta_features import apply_scaler, fit_scaler, metadata
 from reviewloom.operators.text_features import (
-    ASPECTS,
     MAX_FEATURES,
     NGRAM_MAX,
     aspects,
@@ -131,7 +130,7 @@ def build_features(
     splits_dir: str,
     out_dir: str,
     lexicon: DataFrame | None = None,
-    dictionary: Mapping[str, Sequence[str]] | None = ASPECTS,
+    dictionary: Mapping[str, Sequence[str]] | None = None,
     max_features: int = MAX_FEATURES,
     ngram_max: int = NGRAM_MAX,
     drop_label_proxy: bool = False,

@@ -24,7 +24,6 @@ from reviewloom.functions.columns import (
     username,
 )
 from reviewloom.operators.describe import star_distribution
-from reviewloom.operators.joins import lookup_join
 from reviewloom.operators.order_stats import dense_number, first_per_key
 from reviewloom.operators.tables import literal_rows
 from reviewloom.schemas import RUN_STATES, SENTIMENTS, STAR_RULE, WAREHOUSE
@@ -32,7 +31,6 @@ from reviewloom.sources.readers import POSITION, combine_sources
 
 REASONS = ["empty review_id", "empty review text", "star_rating out of range"]
 # columns kept beside the review rows so that labels and counts come from what was written
-LISTED_LOADS = 1000
 EXTRA = "_given_sentiment string, _source int, load_id long"
 
 
@@ -113,14 +111,13 @@ def insert_new(
 
 
 def resolve_fk(facts: DataFrame, apps: DataFrame, users: DataFrame, platforms: DataFrame):
-    """Natural keys to surrogate keys. Platforms are two rows; apps and users are broadcast only
-    if small, and a frequent user or app is salted otherwise."""
+    """Natural keys to surrogate keys. Platforms are two rows; how apps and users are joined, and
+    whether a frequent one is split, is decided at run time from measured sizes."""
     p = platforms.select(F.col("id").alias("platform_fk"), "platform_key")
     a = apps.select(F.col("id").alias("app_fk"), "app_name", "platform_fk")
     u = users.select(F.col("id").alias("user_fk"), "username", "platform_fk")
     facts = facts.join(F.broadcast(p), "platform_key")
-    facts = lookup_join(facts, a, ["app_name", "platform_fk"], salt_by=["review_id"])
-    return lookup_join(facts, u, ["username", "platform_fk"], salt_by=["review_id"])
+    return facts.join(a, ["app_name", "platform_fk"]).join(u, ["username", "platform_fk"])
 
 
 def insert_labels(existing: DataFrame, reviews: DataFrame, sentiment: str, at: Column):
@@ -211,13 +208,12 @@ def _finished(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _of_loads(rows: DataFrame, loads: DataFrame, current: int | None = None) -> DataFrame:
-    """Rows of the finished loads and of the current one. Up to ``LISTED_LOADS`` folders are
-    named in the filter and so pruned when the scan is planned; more are joined."""
-    listed = [r["load_id"] for r in loads.limit(LISTED_LOADS + 1).collect()]
-    if len(listed) <= LISTED_LOADS:
-        return rows.filter(F.col("load_id").isin([*listed, *([current] if current else [])]))
-    done = rows.join(loads, "load_id", "left_semi")
-    return done if current is None else done.unionByName(rows.filter(F.col("load_id") == current))
+    """Rows of the finished loads and of the current one. ``load_id`` is a folder column, so the
+    loads that the join knows prune the scan when it runs."""
+    if current is not None:
+        this = loads.sparkSession.range(current, current + 1).select(F.col("id").alias("load_id"))
+        loads = loads.unionByName(this).distinct()
+    return rows.join(loads, "load_id", "left_semi")
 
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -395,7 +391,7 @@ def analysis_base(wh: Mapping[str, DataFrame]) -> DataFrame:
         "id", "review_id", "user_fk", "star_rating", "review_date", "review_text",
         "review_length", "word_count",
     ).join(labels, "id")
-    return lookup_join(base, users, ["user_fk"], salt_by=["id"]).drop("user_fk", "id")
+    return base.join(users, "user_fk").drop("user_fk", "id")
 
 
 def load_labelled(
@@ -422,8 +418,7 @@ def load_labelled(
         "review_length", "word_count", "title",
     )
     out = reviews.join(F.broadcast(platforms), "platform_fk")
-    out = lookup_join(out, apps, ["app_fk"], salt_by=["id"])
-    return out.join(labels, "id").select(
+    return out.join(apps, "app_fk").join(labels, "id").select(
         "id", "review_id", "app_name", "platform_key", "star_rating", "review_date",
         "review_text", "review_length", "word_count", "title", "sentiment", "label_method",
     )

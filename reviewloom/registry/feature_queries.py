@@ -17,7 +17,7 @@ from reviewloom.registry.views import r6
 from reviewloom.session import shared_dir
 from reviewloom.sources.writers import load_model, save_model, write_splits
 
-K = 2000
+K = T.MAX_FEATURES
 SPLIT = ["split"]
 DICTIONARY = {
     "ui": ["the", "un"],
@@ -25,7 +25,7 @@ DICTIONARY = {
     "login": ["worthless", "and"],
     "pricing": ["por", "das"],
 }
-NEGATIONS = ["no", "not", "of", "de"]
+NEGATIONS = [*T.NEGATIONS, "of", "de"]
 
 
 def splits(spark, sf):
@@ -206,6 +206,10 @@ def lexicon(spark, sf):
     )
 
 
+def _negation(there: str, word: str) -> str:
+    return f"({there} AND ({word} IN {tuple(NEGATIONS)} OR ends_with({word}, 'n''t')))"
+
+
 LEXICON_CTES = [
     f"""wd AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '{WORD}{{2,}}')) AS word
   FROM benchmark)""",
@@ -215,11 +219,12 @@ LEXICON_CTES = [
   FROM (SELECT word, CAST('0x' || md5(word)[1:15] AS BIGINT) AS h FROM wd))""",
     """tx AS (
   SELECT id, t, unnest(range(1, len(t) + 1)) AS i
-  FROM (SELECT id, regexp_extract_all(lower(review_text), '[\\p{L}\\p{N}_'']+') AS t FROM sp))""",
+  FROM (SELECT id, regexp_extract_all(
+    replace(lower(review_text), chr(8217), ''''), '[\\p{L}\\p{N}_'']+') AS t FROM sp))""",
     f"""ht AS (
   SELECT id, cur.polarity, cur.subjectivity, mod.intensity AS by_, cur.intensity AS own,
-    nxt.word AS nw, t[i] AS w, CASE WHEN i > 1 THEN t[i - 1] END IN {tuple(NEGATIONS)} AS n1,
-    CASE WHEN i > 2 THEN t[i - 2] END IN {tuple(NEGATIONS)} AS n2
+    nxt.word AS nw, t[i] AS w, {_negation('i > 1', 't[i - 1]')} AS n1,
+    {_negation('i > 2', 't[i - 2]')} AS n2
   FROM tx JOIN lx cur ON cur.word = t[i]
   LEFT JOIN lx nxt ON nxt.word = t[i + 1]
   LEFT JOIN lx mod ON mod.intensity <> 1 AND i > 1 AND mod.word = t[i - 1])""",

@@ -115,15 +115,19 @@ LANG_SQL = "\n".join(
 
 def lang_cte(name: str, source: str, key: str, text: str) -> str:
     """Language label per row, from token lists."""
-    best = "greatest(h_de, h_en, h_es, h_fr)"
+    names = sorted(STOP_WORDS)
+    best = f"greatest({', '.join(f'h_{n}' for n in names)})"
+    cases = " ".join(f"WHEN h_{n} = {best} THEN '{n}'" for n in names)
+    letters, foreign = (f"length(regexp_replace(lower({text}), '{p}', '', 'g'))"
+                        for p in (r"[^\p{L}]", r"[^\p{L}]|\p{Latin}"))
     return f"""{name}_tok AS (
-  SELECT {key}, regexp_extract_all(lower({text}), '{WORD}+') AS tok FROM {source}),
-{name}_hits AS (SELECT {key},
+  SELECT {key}, regexp_extract_all(lower({text}), '{WORD}+') AS tok,
+    2 * {foreign} > {letters} AS foreign_script FROM {source}),
+{name}_hits AS (SELECT {key}, foreign_script,
 {LANG_SQL}
   FROM {name}_tok),
 {name} AS (
-  SELECT {key}, CASE WHEN {best} = 0 THEN 'und' WHEN h_de = {best} THEN 'de'
-    WHEN h_en = {best} THEN 'en' WHEN h_es = {best} THEN 'es' ELSE 'fr' END AS found
+  SELECT {key}, CASE WHEN foreign_script THEN 'other' WHEN {best} = 0 THEN 'und' {cases} END AS found
   FROM {name}_hits)"""
 
 
@@ -319,7 +323,7 @@ QUERIES = {
         "md5(review_text) AS review_md5, review_length, word_count, title, sentiment, "
         "reject_reason FROM typed")),
     "add_lengths": (
-        column_query(V.documents, "doc_id",
+        column_query(lambda spark, sf: V.table(spark, sf, "documents"), "doc_id",
                      review_length=lambda: C.review_length("text"),
                      word_count=lambda: C.word_count("text")),
         f"SELECT doc_id, length(text) AS review_length, {V.words_sql('text')} AS word_count "

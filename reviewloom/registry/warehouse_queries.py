@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from reviewloom.operators import audit as A
-from reviewloom.operators.joins import salted_join
 from reviewloom.plans import warehouse as W
 from reviewloom.registry import views as V
 from reviewloom.schemas import PLATFORM_NAMES, WAREHOUSE
@@ -87,8 +86,7 @@ def resolved(wh):
     p = wh["platforms"].select(F.col("id").alias("platform_fk"), "platform_key")
     same = (F.col("app_platform") == F.col("platform_fk")) & (
         F.col("user_platform") == F.col("platform_fk"))
-    joined = salted_join(r, a, ["app_fk"], salt_by=["review_id"])
-    joined = salted_join(joined, u, ["user_fk"], salt_by=["review_id"])
+    joined = r.join(a, "app_fk").join(u, "user_fk")
     return joined.join(F.broadcast(p), "platform_fk").select(
         "review_id", "app_name", "username", "platform_key", same.cast("int").alias("consistent")
     )

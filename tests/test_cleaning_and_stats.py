@@ -7,7 +7,6 @@ from conftest import rows
 from reviewloom.operators import describe as D
 from reviewloom.operators import hypothesis as H
 from reviewloom.operators.cleaning import clean, clean_audit
-from reviewloom.operators.joins import salted_join
 from reviewloom.operators.order_stats import dense_number, first_per_key, quantiles
 
 RAW = [
@@ -67,17 +66,6 @@ def test_dense_number_crosses_blocks(spark):
         assert numbers == list(range(len(numbers)))
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_equals_plain_join(spark, how):
-    left = spark.range(3000).select(
-        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 50).alias("k"), "id")
-    right = spark.range(40).select(F.col("id").alias("k"), F.lit("r").alias("r"))
-    salted = salted_join(left, right, ["k"], how)
-    plain = left.join(right, "k", how)
-    assert salted.count() == plain.count()
-    assert rows(salted.select("id")) == rows(plain.select("id"))
-
-
 @pytest.fixture(scope="module")
 def sample(spark):
     rng = np.random.default_rng(0)

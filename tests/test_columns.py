@@ -99,6 +99,9 @@ def test_platforms(spark):
 @pytest.mark.parametrize("text, lang", [
     ("the end of it", "en"), ("le chat est dans la maison", "fr"), ("👍👍👍", "und"), ("", "und"),
     ("der Hund und die Katze", "de"), ("el perro y los gatos", "es"),
+    ("यह ऐप बहुत अच्छा है", "other"), ("очень хорошее приложение", "other"), ("很好用的软件", "other"),
+    ("questo gioco è molto bello", "it"), ("não gosto, é muito lento", "pt"),
+    ("het werkt niet meer", "nl"), ("bu uygulama çok iyi", "tr"), ("12 % ok 5/5", "und"),
 ])
 def test_language(spark, text, lang):
     assert one(spark, text, detect_language) == lang

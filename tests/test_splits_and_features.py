@@ -134,8 +134,17 @@ def test_lexicon_rules(spark):
     got = T.lexicon_sentiment(docs(spark, texts), lexicon).orderBy("sample_id").collect()
     assert [round(r["polarity"], 6) for r in got] == [0.8, -0.4, 1.0, -0.5, 0.0, 0.0, 0.2, 0.05]
     assert [round(r["subjectivity"], 6) for r in got] == [0.6, 0.6, 0.9, 0.9, 0.0, 0.0, 0.3, 0.6]
-    shuffled = T.lexicon_sentiment(docs(spark, texts), lexicon, broadcast_rows=1)
-    assert rows(shuffled) == rows(T.lexicon_sentiment(docs(spark, texts), lexicon))
+
+
+def test_contractions_negate_and_case_is_one_word(spark):
+    lexicon = spark.createDataFrame(
+        [("like", 0.5, 0.5, 1.0), ("Like", 0.5, 0.5, 1.0), ("good", 0.7, 0.5, 1.0),
+         ("very", 0.2, 0.3, 1.5)],
+        "word string, polarity double, subjectivity double, intensity double")
+    texts = ["i do not like it", "i don't like it", "it isn\u2019t good", "i like it",
+             "not so good", "can't very good", "like not"]
+    got = T.lexicon_sentiment(docs(spark, texts), lexicon).orderBy("sample_id").collect()
+    assert [round(r["polarity"], 6) for r in got] == [-0.25, -0.25, -0.35, 0.5, 0.7, -0.5, 0.5]
 
 
 def labelled(spark):
@@ -169,7 +178,7 @@ def test_split_and_feature_jobs(spark, tmp_path, monkeypatch):
     features = str(tmp_path / "features")
     lexicon = spark.createDataFrame([("words", 0.5, 0.5, 1.0)], "word string, polarity double, "
                                     "subjectivity double, intensity double")
-    report = P.build_features(spark, out, features, lexicon)
+    report = P.build_features(spark, out, features, lexicon, {"ui": ["some words"]})
     numbers = {(r["split"], r["item"]): r["value"] for r in report.collect()}
     assert numbers["train", "polarity_mean"] == 0.5
     families = {n: spark.read.parquet(f"{features}/{n}")
