@@ -28,6 +28,7 @@ from reviewloom.llm.text import shelve
 WINDOW = 13
 MINIMISER = 3  # words hashed together
 BUCKET_BYTES = 16_000_000  # text per bucket
+LEAST_BUCKETS = 64  # so that small inputs use all cores
 CHUNK_BYTES = 16_000_000  # text whose super-k-mers are collected before they are packed
 NO_ID = np.iinfo("int64").max  # a null id comes after all others
 MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -184,7 +185,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``_id``, ``_mark`` (32 bits of the text's hash), ``start``, ``end``: spans of words that repeat
     a window of a smaller document."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(1, math.ceil(total / BUCKET_BYTES))
+    buckets = max(LEAST_BUCKETS, math.ceil(total / BUCKET_BYTES))
     both = pa.schema([*BLOCK, *SPAN])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
