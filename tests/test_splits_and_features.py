@@ -75,7 +75,7 @@ def test_many_draws_of_few_rows(spark, monkeypatch):
 
 def test_expand_copies_in_pieces(spark):
     df = spark.createDataFrame([(1, 0), (2, 3), (3, 25), (4, 4)], "id long, extra long")
-    got = expand_copies(df, "extra", "id", most=25, per_task=4)
+    got = expand_copies(df, "extra", "id", per_task=4)
     for i, extra in ((1, 0), (2, 3), (3, 25), (4, 4)):
         copies = [r["copy_no"] for r in got.filter(F.col("id") == i).collect()]
         assert sorted(copies) == list(range(extra + 1))
@@ -193,3 +193,10 @@ def test_split_and_feature_jobs(spark, tmp_path, monkeypatch):
     written.filter("split <> 'val'").write.partitionBy("split").parquet(partial)
     with pytest.raises(FileNotFoundError, match="val"):
         P.build_features(spark, partial, features)
+
+
+def test_a_null_class_is_lifted_as_well(spark):
+    df = classes(spark, 6, 2).withColumn(
+        "sentiment", F.when(F.col("sentiment") == "a", F.col("sentiment")))
+    got = oversample(df, "sentiment", "id")
+    assert {r[0]: r[1] for r in got.groupBy("sentiment").count().collect()} == {"a": 6, None: 6}
