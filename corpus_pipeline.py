@@ -13,8 +13,7 @@ from reviewloom.session import ship_package
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
-    judged = quality_rules.quality_rules(docs, table(spark, sf_dir, "labels"))
-    return judged.filter("kept").select(docs.columns)
+    return quality_rules.good_documents(docs, table(spark, sf_dir, "labels"))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
