@@ -51,15 +51,19 @@ def dense_number(
     before = F.sum("_size").over(
         W.partitionBy(*by).orderBy(*lead, "_block").rowsBetween(W.unboundedPreceding, -1)
     )
-    offsets = sizes.select(*keys, F.coalesce(before, F.lit(0)).alias("_before"))
+    offsets = sizes.select(*[F.col(k).alias(f"_o_{k}") for k in keys],
+                           F.coalesce(before, F.lit(0)).alias("_before"))
+    same = F.lit(True)
+    for k in keys:  # a null group is a group
+        same = same & F.col(k).eqNullSafe(F.col(f"_o_{k}"))
     in_block = F.row_number().over(W.partitionBy(*keys).orderBy(last))
     number = in_block - F.lit(1) + F.col("_before")
     if start is not None:
         number = number + start
     return (
-        rows.join(offsets, keys)
+        rows.join(offsets, same)
         .withColumn(out, number.cast("long"))
-        .drop("_block", "_before")
+        .drop("_block", "_before", *[f"_o_{k}" for k in keys])
     )
 
 
