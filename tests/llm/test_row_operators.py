@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 from collections import Counter
 
@@ -87,6 +88,23 @@ def test_quality_rules_without_rows_or_trust(spark):
     assert {r.score for r in rows} == {0.0}
 
 
+def test_quality_threshold_is_fitted_on_the_trusted_documents(spark):
+    draw = random.Random(1)
+
+    def text(share):
+        return " ".join(f"{'junk' if draw.random() < share else 'plain'}{draw.randrange(12)}"
+                        for _ in range(300))
+
+    docs = [(k, text(0.0)) for k in range(200)] + [(k, text(0.03)) for k in range(200, 220)]
+    labels = spark.createDataFrame(
+        [(k, 1, 0) for k in range(150)], "doc_id long, quality int, toxic int")
+    rows = quality.quality_rules(docs_of(spark, docs, extra=False), labels, buckets=1000).collect()
+    assert {r.doc_id for r in rows if r.kept} == set(range(200))
+    assert min(r.score for r in rows) > quality.THRESHOLD  # which keeps them all
+    given = quality.quality_rules(docs_of(spark, docs, extra=False), labels, threshold=-9.0)
+    assert given.filter("kept").count() == 220
+
+
 def test_token_counts_are_the_library_s(spark):
     texts = [t for _, t in TEXTS] + ["it's <|endoftext|> done", "ΣΑΣ İstanbul \x1c\x85x", "é"]
     rows = token_counts(docs_of(spark, list(enumerate(texts))), VOCABULARY).collect()
