@@ -123,6 +123,12 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.url_filters(table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
 
 
+def op10_weighted_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.weighted_url_filters(pages).drop("url")
+
+
 QUERIES = {
     "op1_decontamination": (op1_decontamination, None),
     "op2_best_fit_packing": (op2_best_fit_packing, None),
@@ -134,4 +140,5 @@ QUERIES = {
     "op8_secret_scan": (op8_secret_scan, secrets.ORACLE_SQL),
     "op9_quality_rules": (op9_quality_rules, None),
     "op10_url_filters": (op10_url_filters, urls.ORACLE_SQL),
+    "op10_weighted_url_filters": (op10_weighted_url_filters, urls.WEIGHTED_SQL),
 }

@@ -7,7 +7,7 @@ different soft ones, block the url.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -29,6 +29,36 @@ SOFT = ["adult", "bet", "bonus", "casino", "dating", "free", "gambling", "jackpo
 SOFT_HITS = 2
 
 
+# Weighted vocabulary: term -> (weight anywhere in the url, weight in the host). A url of weight
+# BLOCK_AT or more is blocked. Gambling and adult terms block alone in a host; elsewhere two must
+# meet. Forms are listed one by one, as a letter or digit at a term's edge makes it another word.
+# Contexts take weight off again.
+BLOCK_AT = 10
+
+
+def _forms(weights: tuple[int, int], terms: str) -> dict[str, tuple[int, int]]:
+    return dict.fromkeys(terms.split(), weights)
+
+
+VOCABULARY: dict[str, tuple[int, int]] = {
+    **_forms((10, 10), "porn porno pornos pornography pornographic pornstar pornstars pornhub xxx "
+             "hentai camgirl camgirls camsex sexcam sexcams milf milfs bdsm blowjob blowjobs "
+             "gangbang gangbangs cumshot cumshots creampie warez keygen keygens serialz crackz"),
+    **_forms((5, 10), "adult adults casino casinos kasino bet bets betting bettor bettors gambling "
+             "gamble gambles gambler gamblers jackpot jackpots poker roulette blackjack baccarat "
+             "slots bookmaker bookmakers bookie bookies sportsbook sportsbooks wager wagers "
+             "nude nudes nudity naked sex sexy sexual escort escorts erotic erotica fetish fetishes "
+             "stripper strippers striptease webcamgirl webcamgirls swinger swingers hookup hookups "
+             "viagra cialis levitra"),
+    **_forms((5, 5), "dating slot torrent torrents pharmacy loan loans payday bonus bonuses lotto "
+             "lottery lotteries crack cracks cracked cracking"),
+    **_forms((3, 3), "free win wins winner winners winning cam cams girls babes hot online"),
+    **_forms((-10, -10), "education educational learning literacy school schools college university "
+             "library museum health medicine medical hospital science research recovery addiction "
+             "prevention biology"),
+}
+
+
 def host_and_path(url: Column) -> tuple[Column, Column]:
     """Both empty for null and for a url without ``://``."""
     at = F.instr(url, "://")
@@ -112,6 +142,60 @@ def url_filters(
     }))
 
 
+def term_weigher(vocabulary: Mapping[str, tuple[int, int]]):
+    """Summed weights of the distinct terms of a host and a url as a column function."""
+    terms = dict(vocabulary)
+
+    @F.pandas_udf("long")
+    def weigh(series: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        import ahocorasick
+
+        machine = ahocorasick.Automaton()
+        for term in terms:
+            machine.add_word(term, term)
+        if terms:
+            machine.make_automaton()
+
+        def found(text: str) -> set[str]:
+            return {
+                term for end, term in (machine.iter(text) if terms else ())
+                if (end < len(term) or not _joined(text[end - len(term)]))
+                and (end + 1 == len(text) or not _joined(text[end + 1]))}
+
+        def weight(host: str, url: str) -> int:
+            inside = found(host)
+            return sum(terms[t][1] for t in inside) + sum(
+                terms[t][0] for t in found(url) - inside)
+
+        for hosts, urls in series:
+            yield pd.Series([weight(h or "", u or "") for h, u in zip(hosts, urls, strict=True)],
+                            dtype="int64")
+
+    return weigh
+
+
+def weighted_url_filters(
+    pages: DataFrame, *, rules: Sequence[tuple[str, str, str]] = RULES,
+    vocabulary: Mapping[str, tuple[int, int]] = VOCABULARY, block_at: int = BLOCK_AT,
+) -> DataFrame:
+    """``pages`` with ``host``, ``path``, ``rule``, ``weight`` and ``verdict``: like
+    ``url_filters``, but a url that no rule fits is blocked by the summed weight of its terms."""
+    new = ["host", "path", "rule", "weight", "verdict"]
+    host, path = host_and_path(F.col("url"))
+    rows, back = shelve(pages, ["url"], new)
+    out = rows.withColumns({"host": host, "path": path}).withColumns({
+        "_rule": fitting_rule(F.col("host"), F.col("path"), rules),
+        "weight": term_weigher(vocabulary)(
+            F.col("host"), ascii_lower(F.coalesce(F.col("url"), F.lit("")))),
+    })
+    blocked = F.when(F.col("_rule").isNull(), F.col("weight") >= block_at).otherwise(
+        F.col("_rule.blocks"))
+    return back(out.withColumns({
+        "rule": F.col("_rule.rule"),
+        "verdict": F.when(blocked, "block").otherwise("allow"),
+    }))
+
+
 def _matches(term: str) -> str:
     return f"regexp_matches(low, '(^|[^a-z0-9]){term}([^a-z0-9]|$)')"
 
@@ -144,3 +228,29 @@ SELECT page_id, t.host, t.path, rule, n_strict, n_soft,
   CASE WHEN rule IS NOT NULL THEN v WHEN n_strict > 0 OR n_soft >= {SOFT_HITS} THEN 'block'
     ELSE 'allow' END AS verdict
 FROM terms t LEFT JOIN fit f ON t.host = f.host AND t.path = f.path"""
+
+
+def _in(text: str, term: str) -> str:
+    return f"regexp_matches({text}, '(^|[^a-z0-9]){term}([^a-z0-9]|$)')"
+
+
+_WEIGHTS = _COUNT(
+    f"CASE WHEN {_in('host', t)} THEN {in_host} WHEN {_in('low', t)} THEN {anywhere} ELSE 0 END"
+    for t, (anywhere, in_host) in VOCABULARY.items())
+WEIGHTED_SQL = f"""WITH rules(v, h, p) AS (VALUES {_RULE_ROWS}),
+cut AS (
+  SELECT page_id, coalesce({_lower_sql('url')}, '') AS low,
+    CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+  FROM pages),
+parts AS (
+  SELECT page_id, low, {_lower_sql("regexp_extract(rest, '^[^/?#]*')")} AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
+terms AS (SELECT page_id, host, path, CAST({_WEIGHTS} AS BIGINT) AS weight FROM parts),
+fit AS (
+  SELECT host, path, arg_max(h || p, length(h || p)) AS rule, arg_max(v, length(h || p)) AS v
+  FROM (SELECT DISTINCT host, path FROM parts)
+  JOIN rules ON ends_with('.' || host, '.' || h) AND starts_with(path, p) GROUP BY ALL)
+SELECT page_id, t.host, t.path, rule, weight,
+  CASE WHEN rule IS NOT NULL THEN v WHEN weight >= {BLOCK_AT} THEN 'block' ELSE 'allow' END
+    AS verdict
+FROM terms t LEFT JOIN fit f ON t.host = f.host AND t.path = f.path"""

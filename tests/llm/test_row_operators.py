@@ -150,6 +150,18 @@ def test_urls(spark):
     assert {r.verdict for r in plain} == {"allow"}
 
 
+def test_weighted_urls(spark):
+    block = ["https://adult-x.example.org/p", "https://m.adult-x.example.net/",
+             "http://casino-win.example.org/a", "https://free-bets.example.net/p/1",
+             "http://a.org/casinos/best-bets", "http://a.org/p?q=hentai", "https://BETTING.org/"]
+    allow = [None, "", "http://alphabet.org/", "http://a.org/casino", "http://a.org/free/hot",
+             "https://adult-education.org/", "http://a.org/gambling/addiction", "http://sussex.org/",
+             "https://www.example.com/en/poker-bets", "https://better.org/winners"]
+    df = spark.createDataFrame(list(enumerate(block + allow)), "page_id long, url string")
+    got = {r.url: r.verdict for r in urls.weighted_url_filters(df).collect()}
+    assert got == dict.fromkeys(block, "block") | dict.fromkeys(allow, "allow")
+
+
 KEY = "AKIA" + "ABCDEFGH12345678"
 SECRETS = [
     f"Password = \"{'a' * 12}\" and {KEY}", "token:short", "token=token:abcdefghijklmnop",
