@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewloom.functions import columns as C
@@ -22,7 +25,7 @@ from reviewloom.registry import views as V
 from reviewloom.registry.views import r6
 from reviewloom.schemas import REQUIRED_COLUMNS
 from reviewloom.session import shared_dir
-from reviewloom.sources.readers import combine_sources, read_clean_reviews
+from reviewloom.sources.readers import combine_sources, read_clean_reviews, read_raw_reviews
 from reviewloom.sources.writers import write_reviews
 
 
@@ -34,23 +37,35 @@ def trim_sql(col: str) -> str:
 
 
 def read_raw(spark, sf):
-    return V.raw(spark, sf).select(
+    """Through JSON lines of store records."""
+    base = shared_dir(spark, "json")
+    write_reviews(V.records(spark, sf).drop("platform_key", "lang"), base, "json")
+    return read_raw_reviews(spark, base, keep=["doc_id long"]).select(
         "doc_id", "review_id", "app_name", "user", "star_rating", "date",
         F.md5("review").alias("review_md5"),
     )
 
 
-def read_clean(spark, sf):
+def _through_csv(spark, sf, platform):
     """Through real CSV files with quoted line breaks."""
     base = shared_dir(spark, "csv")
-    rows = V.load_rows(spark, sf).filter(F.col("platform_key") == "apple")
+    rows = V.load_rows(spark, sf).filter(F.col("platform_key") == platform)
     write_reviews(rows.drop("doc_id", "platform_key"), base, "csv")
-    df = read_clean_reviews(spark, base, "apple")
+    df = read_clean_reviews(spark, base, platform)
     cols = [c for c in (*REQUIRED_COLUMNS, "title", "word_count", "platform_key")
             if c not in ("review",)]
     return df.select(*cols, F.md5("review").alias("review_md5"))
 
 
+def read_clean(spark, sf):
+    return _through_csv(spark, sf, "apple")
+
+
+def read_clean_sources(spark, sf):
+    """The files of every platform."""
+    return reduce(DataFrame.unionByName, [_through_csv(spark, sf, p) for p in V.PLATFORMS])
+
+
 def ingest_many(spark, sf):
     base = shared_dir(spark, "sources")
     sources = V.load_files(spark, sf, base)
@@ -302,6 +317,9 @@ QUERIES = {
         'SELECT review_id, app_name, "user", star_rating, date, review_length, sentiment, title, '
         "word_count, platform_key, md5(review) AS review_md5 FROM ld "
         "WHERE platform_key = 'apple'")),
+    "read_clean_sources": (read_clean_sources, V.with_load(
+        'SELECT review_id, app_name, "user", star_rating, date, review_length, sentiment, title, '
+        "word_count, platform_key, md5(review) AS review_md5 FROM ld")),
     "ingest_many": (ingest_many, V.with_load(
         "SELECT CAST(platform_key = 'apple' AS INTEGER) AS source_no, platform_key, "
         "count(*) AS n, count(DISTINCT review_id) AS ids FROM ld GROUP BY 1, 2")),

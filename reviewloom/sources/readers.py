@@ -53,10 +53,17 @@ def project_raw(
     )
 
 
-def read_raw_reviews(spark: SparkSession, path, app_name: str | None = None, fmt: str = "json"):
-    """Raw reviews: JSON lines of store records, or CSV / Parquet with the six fields."""
+def read_raw_reviews(
+    spark: SparkSession, path, app_name: str | None = None, fmt: str = "json",
+    keep: Sequence[str] = (),
+):
+    """Raw reviews: JSON lines of store records, or CSV / Parquet with the six fields. Records of
+    several apps hold ``app_name`` themselves; ``keep`` are more of their columns, like "id long".
+    """
     if fmt == "json":
-        return project_raw(spark.read.schema(STORE_RECORDS).json(path), app_name)
+        own = [STORE_RECORDS, *(["app_name string"] if app_name is None else []), *keep]
+        records = spark.read.schema(", ".join(own)).json(path)
+        return project_raw(records, app_name, [c.split()[0] for c in keep])
     if fmt == "csv":
         df = _csv(spark, path, schema=RAW_REVIEWS)
     else:

@@ -26,3 +26,16 @@ def test_query_equals_sql(spark, name):
 def test_every_query_is_registered_once():
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert len(entry.queries()) > 100
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="test tables not there")
+@pytest.mark.parametrize("name", ["read_raw_reviews", "read_clean_sources"])
+def test_reviews_are_read_from_files_of_all_rows(spark, name):
+    from compare import compare, connect
+
+    df = entry.queries()[name](spark, SF)
+    assert df.inputFiles() and not any(SF in f for f in df.inputFiles())
+    assert df.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
+    ok, text = compare(connect(SF), spark, SF, name, entry.queries()[name],
+                       entry.oracle_sql()[name])
+    assert ok, text
