@@ -14,6 +14,7 @@ from reviewloom.llm.brown_lm import class_scores
 from reviewloom.llm.decontaminate import contaminated_pairs
 from reviewloom.llm.near_dedup import near_duplicates
 from reviewloom.llm.packing import pack, token_pieces
+from reviewloom.llm.resampling import importance_scores
 from reviewloom.llm.substring_dedup import substring_dedup
 from reviewloom.llm.text import table
 from reviewloom.llm.token_counts import token_counts
@@ -129,6 +130,12 @@ def op10_weighted_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.weighted_url_filters(pages).drop("url")
 
 
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return importance_scores(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_decontamination": (op1_decontamination, None),
     "op2_best_fit_packing": (op2_best_fit_packing, None),
@@ -141,4 +148,5 @@ QUERIES = {
     "op9_quality_rules": (op9_quality_rules, None),
     "op10_url_filters": (op10_url_filters, urls.ORACLE_SQL),
     "op10_weighted_url_filters": (op10_weighted_url_filters, urls.WEIGHTED_SQL),
+    "op13_importance_resampling": (op13_importance_resampling, None),
 }
