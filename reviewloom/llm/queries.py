@@ -12,6 +12,7 @@ from reviewloom.llm import secret_scan as secrets
 from reviewloom.llm import url_filters as urls
 from reviewloom.llm.brown_lm import class_scores
 from reviewloom.llm.decontaminate import contaminated_pairs
+from reviewloom.llm.divergence import source_divergence
 from reviewloom.llm.near_dedup import near_duplicates
 from reviewloom.llm.packing import pack, token_pieces
 from reviewloom.llm.resampling import importance_scores
@@ -57,6 +58,44 @@ c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept
 FROM c JOIN n USING (doc_id)"""
 
+# Every cell of group and kept term, then both parts.
+OP12_SQL = r"""WITH d AS (
+  SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT i, lang, source, unnest(w) AS term FROM d),
+k AS (
+  SELECT lang, term, count(*) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT i) >= 30),
+v AS (SELECT lang, count(*) AS v, sum(n) AS n FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (
+  SELECT lang, source, term, count(*) AS n FROM t JOIN k USING (lang, term)
+  GROUP BY lang, source, term),
+s AS (
+  SELECT g.lang, g.source, coalesce(sum(c.n), 0) + 5 * any_value(v) AS d
+  FROM g JOIN v USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source
+  GROUP BY g.lang, g.source),
+p AS (
+  SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n,
+    1 + CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 5) // s.d AS p,
+    1 + CAST(1000000000 AS HUGEINT) * (k.n + 5) // (v.n + 5 * v.v) AS q
+  FROM s JOIN k ON k.lang = s.lang JOIN v ON v.lang = s.lang
+  LEFT JOIN c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term),
+f AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY a.lang, a.source, b.source),
+o AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+  FROM o)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM r WHERE part = 'pair' OR rank <= 50"""
+
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -130,6 +169,11 @@ def op10_weighted_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.weighted_url_filters(pages).drop("url")
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     return importance_scores(
@@ -148,5 +192,6 @@ QUERIES = {
     "op9_quality_rules": (op9_quality_rules, None),
     "op10_url_filters": (op10_url_filters, urls.ORACLE_SQL),
     "op10_weighted_url_filters": (op10_weighted_url_filters, urls.WEIGHTED_SQL),
+    "op12_source_divergence": (op12_source_divergence, OP12_SQL),
     "op13_importance_resampling": (op13_importance_resampling, None),
 }
