@@ -13,6 +13,7 @@ from reviewloom.llm import url_filters as urls
 from reviewloom.llm.brown_lm import class_scores
 from reviewloom.llm.decontaminate import contaminated_pairs
 from reviewloom.llm.divergence import source_divergence
+from reviewloom.llm.embedding_dedup import near_vectors
 from reviewloom.llm.near_dedup import near_duplicates
 from reviewloom.llm.packing import pack, token_pieces
 from reviewloom.llm.resampling import importance_scores
@@ -58,6 +59,23 @@ c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept
 FROM c JOIN n USING (doc_id)"""
 
+# All links by comparing all vectors, then everything that is reachable.
+OP11_SQL = """WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS i, vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ok AS (
+  SELECT * FROM v WHERE len(list_filter(e, lambda x: x IS NOT NULL AND isfinite(x))) = len(e)
+    AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.i AS a, b.i AS b FROM ok a JOIN ok b ON a.i <> b.i AND len(a.e) = len(b.e)
+  WHERE CASE WHEN len(a.e) = len(b.e) THEN list_cosine_similarity(a.e, b.e) >= 0.95 END),
+n AS (SELECT a AS i, count(*) AS n FROM links GROUP BY a),
+reach AS (
+  SELECT i AS a, i AS b FROM v
+  UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+c AS (
+  SELECT r.a AS i, min(v.vec_id) AS component_id FROM reach r JOIN v ON v.i = r.b GROUP BY r.a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN c USING (i) LEFT JOIN n USING (i)"""
 # Every cell of group and kept term, then both parts.
 OP12_SQL = r"""WITH d AS (
   SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
@@ -169,6 +187,11 @@ def op10_weighted_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.weighted_url_filters(pages).drop("url")
 
 
+def op11_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return near_vectors(spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet"))
+
+
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     return source_divergence(table(spark, sf_dir, "documents"))
@@ -192,6 +215,7 @@ QUERIES = {
     "op9_quality_rules": (op9_quality_rules, None),
     "op10_url_filters": (op10_url_filters, urls.ORACLE_SQL),
     "op10_weighted_url_filters": (op10_weighted_url_filters, urls.WEIGHTED_SQL),
+    "op11_embedding_dedup": (op11_embedding_dedup, OP11_SQL),
     "op12_source_divergence": (op12_source_divergence, OP12_SQL),
     "op13_importance_resampling": (op13_importance_resampling, None),
 }
