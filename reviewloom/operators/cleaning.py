@@ -34,7 +34,7 @@ def failed_step(language: str = "en", min_chars: int = MIN_CHARS) -> Column:
     """First row-level step a row fails, null for none. The language is only looked at where the
     cheaper steps pass."""
     text = trim_space("review")
-    lang = detect_language("review")
+    lang = detect_language("review", prefer=language)
     return (
         F.when(F.col("date").isNull(), STEPS[0])
         .when(F.coalesce(text, F.lit("")) == "", STEPS[1])
@@ -44,8 +44,8 @@ def failed_step(language: str = "en", min_chars: int = MIN_CHARS) -> Column:
 
 
 def keep_language(df: DataFrame, language: str = "en", col: str = "review") -> DataFrame:
-    """Rows in the language, and rows whose language shows no evidence."""
-    return df.filter(detect_language(col).isin(language, UNDETERMINED))
+    """Rows in the language, and rows that show no clear evidence of another one."""
+    return df.filter(detect_language(col, prefer=language).isin(language, UNDETERMINED))
 
 
 def clean(

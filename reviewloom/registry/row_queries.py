@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from reviewloom.functions import columns as C
 from reviewloom.functions.columns import NON_SPACE, SPACE, WORD
-from reviewloom.functions.language import STOP_WORDS, detect_language
+from reviewloom.functions.language import AFFIX, MARGIN, PRIOR, SAMPLES, UNIT, detect_language
 from reviewloom.operators.audit import portable_fingerprint
 from reviewloom.operators.cleaning import (
     clean,
@@ -122,32 +122,58 @@ def bins(spark, sf):
 
 # --- cleaning ------------------------------------------------------------------------------
 
-LANG_SQL = "\n".join(
-    f"    len(list_filter(tok, lambda t: list_contains({words!r}, t))) AS h_{lang},"
-    for lang, words in sorted(STOP_WORDS.items())
-)
+_SAMPLE_ROWS = ", ".join(
+    "('{}', '{}')".format(k, v.replace("'", "''")) for k, v in sorted(SAMPLES.items()))
+
 
+def _ends(words: str) -> str:
+    """Beginnings and ends of the words of a list."""
+    return f"""list_concat(
+      list_transform({words}, lambda w: '<' || left(w, {AFFIX})),
+      list_transform({words}, lambda w: '>' || right(w, {AFFIX})))"""
 
-def lang_cte(name: str, source: str, key: str, text: str) -> str:
-    """Language label per row, from token lists."""
-    names = sorted(STOP_WORDS)
-    best = f"greatest({', '.join(f'h_{n}' for n in names)})"
-    cases = " ".join(f"WHEN h_{n} = {best} THEN '{n}'" for n in names)
+
+def lang_cte(name: str, source: str, key: str, text: str, prefer: str | None = None) -> str:
+    """Language label per row. The model is fitted here again, from the sample texts."""
     letters, foreign = (f"length(regexp_replace(lower({text}), '{p}', '', 'g'))"
                         for p in (r"[^\p{L}]", r"[^\p{L}]|\p{Latin}"))
-    return f"""{name}_tok AS (
-  SELECT {key}, regexp_extract_all(lower({text}), '{WORD}+') AS tok,
+    label = "best.lang"
+    if prefer:
+        label = f"CASE WHEN best.score - own < {MARGIN} THEN '{prefer}' ELSE best.lang END"
+    return f"""{name}_sample(lang, txt) AS (VALUES {_SAMPLE_ROWS}),
+{name}_seen AS (
+  SELECT lang, unnest({_ends("w")}) AS f
+  FROM (SELECT lang, regexp_extract_all(lower(txt), '\\p{{L}}+') AS w FROM {name}_sample)),
+{name}_n AS (SELECT lang, f, count(*) AS n FROM {name}_seen GROUP BY lang, f),
+{name}_known AS (SELECT DISTINCT f, f[1] AS kind FROM {name}_n),
+{name}_kind AS (SELECT kind, count(*) AS k FROM {name}_known GROUP BY kind),
+{name}_total AS (SELECT lang, f[1] AS kind, count(*) AS t FROM {name}_seen GROUP BY lang, f[1]),
+{name}_log AS (
+  SELECT t.lang, g.f, ln((coalesce(n.n, 0) + {PRIOR}::DOUBLE) / (t.t + {PRIOR}::DOUBLE * k.k)) AS p
+  FROM {name}_known g JOIN {name}_kind k USING (kind) JOIN {name}_total t USING (kind)
+  LEFT JOIN {name}_n n ON n.lang = t.lang AND n.f = g.f),
+{name}_model AS (
+  SELECT lang, f, CAST(round((p - min(p) OVER (PARTITION BY f)) / {UNIT}::DOUBLE) AS INTEGER) AS score
+  FROM {name}_log),
+{name}_text AS (
+  SELECT {key}, list_distinct(regexp_extract_all(lower({text}), '\\p{{L}}+')) AS w,
     2 * {foreign} > {letters} AS foreign_script FROM {source}),
-{name}_hits AS (SELECT {key}, foreign_script,
-{LANG_SQL}
-  FROM {name}_tok),
+{name}_shown AS (SELECT {key}, unnest(list_distinct({_ends("w")})) AS f FROM {name}_text),
+{name}_score AS (
+  SELECT {key}, lang, sum(score) AS score FROM {name}_shown JOIN {name}_model USING (f)
+  GROUP BY {key}, lang),
+{name}_best AS (
+  SELECT {key}, max(score) FILTER (lang = '{prefer}') AS own,
+    first(struct_pack(lang := lang, score := score) ORDER BY score DESC, lang) AS best
+  FROM {name}_score GROUP BY {key}),
 {name} AS (
-  SELECT {key}, CASE WHEN foreign_script THEN 'other' WHEN {best} = 0 THEN 'und' {cases} END AS found
-  FROM {name}_hits)"""
+  SELECT {key}, CASE WHEN foreign_script THEN 'other'
+    WHEN coalesce(best.score, 0) = 0 THEN 'und' ELSE {label} END AS found
+  FROM {name}_text LEFT JOIN {name}_best USING ({key}))"""
 
 
 STEP_CTES = (
-    lang_cte("lg", "raw", "doc_id", "review"),
+    lang_cte("lg", "raw", "doc_id", "review", "en"),
     """stepped AS (
   SELECT raw.*, found, CAST(try_strptime(date, '%Y-%m-%d') AS DATE) AS day,
     CASE WHEN star_rating = 'x' THEN NULL ELSE CAST(star_rating AS DOUBLE) END AS star,
@@ -370,7 +396,7 @@ QUERIES = {
         *STEP_CTES)),
     "keep_language": (language_filter, V.with_reviews(
         "SELECT review_id, lang FROM rv JOIN lg USING (id) WHERE found IN ('en', 'und')",
-        lang_cte("lg", "rv", "id", "review_text"))),
+        lang_cte("lg", "rv", "id", "review_text", "en"))),
     "detect_language": (language, V.with_reviews(
         "SELECT lang, found, count(*) AS n FROM rv JOIN lg USING (id) GROUP BY 1, 2",
         lang_cte("lg", "rv", "id", "review_text"))),

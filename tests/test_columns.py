@@ -4,8 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from reviewloom.functions import columns as C
-from reviewloom.functions.language import detect_language
+from reviewloom.functions.language import SAMPLES, detect_language, fit
 from reviewloom.functions.tails import correlation_p, incomplete_beta
+from reviewloom.operators.cleaning import keep_language
 
 
 def one(spark, value, make, kind="string"):
@@ -101,12 +102,35 @@ def test_platforms(spark):
     ("der Hund und die Katze", "de"), ("el perro y los gatos", "es"),
     ("यह ऐप बहुत अच्छा है", "other"), ("очень хорошее приложение", "other"), ("很好用的软件", "other"),
     ("questo gioco è molto bello", "it"), ("não gosto, é muito lento", "pt"),
-    ("het werkt niet meer", "nl"), ("bu uygulama çok iyi", "tr"), ("12 % ok 5/5", "und"),
+    ("het werkt niet meer", "nl"), ("bu uygulama çok iyi", "tr"), ("12 % 5/5", "und"),
+    ("Ottima app", "it"), ("Geweldige app", "nl"), ("harika", "tr"), ("Sehr gut", "de"),
+    ("Tres bien", "fr"), ("Appen är jättebra", "sv"), ("app rất tốt", "vi"),
+    ("Dit is de app van het jaar", "nl"), (None, "und"), ("word " * 50_000, "en"),
 ])
 def test_language(spark, text, lang):
     assert one(spark, text, detect_language) == lang
 
 
+@pytest.mark.parametrize("text, kept", [
+    ("Ottima app", False), ("Geweldige app", False), ("harika", False), ("Sehr gut", False),
+    ("Tres bien", False), ("Appen är jättebra", False), ("app rất tốt", False),
+    ("Dit is de app van het jaar", False), ("Gute App", False), ("очень хорошо", False),
+    ("Great app", True), ("5/5 👍", True), ("ok", True), ("", True), ("kool", True),
+    ("Good service", True), ("super", True), ("no sound", True), ("cant open it", True),
+])
+def test_keep_language(spark, text, kept):
+    rows = spark.createDataFrame([(text,)], "review string")
+    assert keep_language(rows, "en").count() == kept
+
+
+def test_language_of_own_samples(spark):
+    samples = {"aa": "bla blu bli", "bb": "cra cru cri bla"}
+    for text, lang in (("blu", "aa"), ("CRI", "bb"), ("xyz", "und"), ("bli cri cru", "bb")):
+        assert one(spark, text, lambda c: detect_language(c, samples)) == lang
+    # no score can run into its neighbour's bits, however long the text
+    assert max(map(sum, zip(*fit(SAMPLES).values()))) < 2**15
+
+
 def test_tails():
     assert incomplete_beta(2, 3, 0.4) == pytest.approx(0.5248, abs=1e-12)
     # published critical values of r: p = 0.05 at n = 10 and n = 32
