@@ -13,57 +13,81 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-BLOCK_ROWS = 1 << 17
+from reviewloom.operators.tables import stored
 
+def least(order: Sequence[str]) -> Column:
+    """Least place in an order. A single number is hash-aggregated; several columns are not."""
+    return F.min(order[0]) if len(order) == 1 else F.min(F.struct(*order))
 
-def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """First row of every key in the given order.
 
-    An aggregate, not a window: each task keeps one row per key before the shuffle, so a key with
-    a third of all rows is no heavier than any other.
+def _same(left: Sequence[str], right: Sequence[str]) -> Column:
+    """Rows with equal values, a null equal to a null."""
+    out = F.lit(True)
+    for a, b in zip(left, right, strict=True):
+        out = out & F.col(a).eqNullSafe(F.col(b))
+    return out
+
+
+def first_per_key(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], taken: DataFrame | None = None,
+) -> DataFrame:
+    """First row of every key in the given order, which numbers each row differently; none for the
+    keys of ``taken``.
+
+    Only keys and places are aggregated and shuffled. What comes of it is a table of the places that
+    lose, rows of repeated or taken keys only, which is stored and taken off the whole rows. Those
+    are not shuffled while that table is small enough to be broadcast, which the planner reads off
+    the stored files; beyond that they are, once, by their place.
     """
-    rest = [c for c in df.columns if c not in keys]
-    if not rest:
-        return df.select(*keys).distinct()
-    first = F.min_by(F.struct(*rest), F.struct(*order)).alias("_first")
-    out = df.groupBy(*keys).agg(first)
-    return out.select(*[F.col(c) if c in keys else F.col("_first")[c].alias(c) for c in df.columns])
+    named = [f"_k{i}" for i in range(len(keys))]
+    narrow = df.select(*[F.col(k).alias(n) for k, n in zip(keys, named, strict=True)], *order)
+    firsts = narrow.groupBy(*[F.col(n).alias(f"_g{n}") for n in named]).agg(
+        least(order).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    grouped = [f"_g{n}" for n in named]
+    if taken is None:
+        beaten = firsts.filter("_n > 1").withColumn("_taken", F.lit(False))
+    else:
+        # the taken keys are first reduced to those that the rows have: the big side is a filter
+        # on a few columns
+        present = taken.select(*[F.col(k).alias(f"_t{i}") for i, k in enumerate(keys)]).join(
+            firsts.select(*grouped), _same([f"_t{i}" for i in range(len(keys))], grouped),
+            "left_semi").distinct().withColumn("_taken", F.lit(True))
+        beaten = firsts.join(
+            present, _same(grouped, [f"_t{i}" for i in range(len(keys))]), "left").withColumn(
+            "_taken", F.coalesce("_taken", F.lit(False))).filter("_n > 1 OR _taken")
+    place = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    lost = narrow.join(beaten, _same(named, grouped)).filter(
+        F.col("_taken") | (place > F.col("_first"))).select(
+        *[F.col(c).alias(f"_l_{c}") for c in order])
+    return df.join(stored(lost, "lost"), _same(order, [f"_l_{c}" for c in order]), "left_anti")
 
 
 def dense_number(
-    df: DataFrame,
-    order: Sequence[str],
-    out: str,
-    by: Sequence[str] = (),
+    df: DataFrame, order: Sequence[str], out: str, by: Sequence[str] = (),
     start: Column | None = None,
-    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Gap-free numbers from ``start`` (default 0) in the given order, within each ``by`` group.
 
-    The last order column is a non-negative integer, unique within the ones before it. Blocks of
-    that integer hold at most ``block_rows`` rows each whatever the skew of ``by``; only block
-    sizes are added up per group, and rows are ordered within their block.
+    Rows are dealt to ranges of the order and stored; how many ranges is up to the session and to
+    AQE, and their bounds come from a sample of the rows, so ids may lie anywhere and as far apart
+    as they like. Only the sizes of ranges are added up; rows are ordered inside their range. All
+    columns are shuffled, so give it narrow rows.
     """
-    *lead, last = order
-    keys = [*by, *lead, "_block"]
-    rows = df.withColumn("_block", F.floor(F.col(last) / F.lit(block_rows)).cast("long"))
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
+    ranged = stored(
+        df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranges")
+    keys = [*by, "_range"]
+    sizes = ranged.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
     before = F.sum("_size").over(
-        W.partitionBy(*by).orderBy(*lead, "_block").rowsBetween(W.unboundedPreceding, -1)
-    )
+        W.partitionBy(*by).orderBy("_range").rowsBetween(W.unboundedPreceding, -1))
     offsets = sizes.select(*[F.col(k).alias(f"_o_{k}") for k in keys],
                            F.coalesce(before, F.lit(0)).alias("_before"))
-    same = F.lit(True)
-    for k in keys:  # a null group is a group
-        same = same & F.col(k).eqNullSafe(F.col(f"_o_{k}"))
-    in_block = F.row_number().over(W.partitionBy(*keys).orderBy(last))
-    number = in_block - F.lit(1) + F.col("_before")
+    number = F.row_number().over(W.partitionBy(*keys).orderBy(*order)) - F.lit(1) + F.col("_before")
     if start is not None:
         number = number + start
     return (
-        rows.join(offsets, same)
+        ranged.join(offsets, _same(keys, [f"_o_{k}" for k in keys]))
         .withColumn(out, number.cast("long"))
-        .drop("_block", "_before", *[f"_o_{k}" for k in keys])
+        .drop("_range", "_before", *[f"_o_{k}" for k in keys])
     )
 
 

@@ -1,4 +1,4 @@
-"""Small tables from driver values."""
+"""Small tables from driver values, and tables on disk between steps."""
 
 from __future__ import annotations
 
@@ -7,8 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewloom.session import shared_dir
+
 
 def literal_rows(spark: SparkSession, rows: Sequence[tuple], names: Sequence[str]) -> DataFrame:
     """A few rows of the driver's as a table."""
     cells = [F.struct(*[F.lit(v).alias(c) for c, v in zip(names, row)]) for row in rows]
     return spark.range(1).select(F.explode(F.array(*cells)).alias("r")).select("r.*")
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written to the shared working folder and read again. Later steps all see these rows,
+    whatever happens to the executors that made them, and the planner knows their size."""
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

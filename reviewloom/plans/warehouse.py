@@ -11,6 +11,7 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from reviewloom.functions.columns import (
@@ -24,12 +25,12 @@ from reviewloom.functions.columns import (
     username,
 )
 from reviewloom.operators.describe import star_distribution
-from reviewloom.operators.order_stats import dense_number, first_per_key
-from reviewloom.operators.tables import literal_rows
+from reviewloom.operators.order_stats import dense_number, first_per_key, least
+from reviewloom.operators.tables import literal_rows, stored
 from reviewloom.schemas import RUN_STATES, SENTIMENTS, STAR_RULE, WAREHOUSE
 from reviewloom.sources.readers import POSITION, combine_sources
 
-REASONS = ["empty review_id", "empty review text", "star_rating out of range"]
+REASONS = ["no_id", "no_text", "bad_star"]
 # columns kept beside the review rows so that labels and counts come from what was written
 EXTRA = "_given_sentiment string, _source int, load_id long"
 
@@ -79,11 +80,9 @@ def upsert_dim(
 ) -> DataFrame:
     """New rows ``(id, keys...)`` of a dimension, numbered by first appearance after the highest
     id in use. Incoming rows collapse per key before anything is joined."""
-    first = incoming.groupBy(*keys).agg(F.min(F.struct(*order)).alias("_at"))
-    new = first.join(existing.select(*keys), list(keys), "left_anti").select(
-        *keys, *[F.col("_at")[c].alias(c) for c in order]
-    )
-    return assign_ids(existing, new, order).select("id", *keys)
+    first = incoming.groupBy(*keys).agg(least(order).alias("_at"))
+    new = first.join(existing.select(*keys), list(keys), "left_anti")
+    return assign_ids(existing, new, ["_at"]).select("id", *keys)
 
 
 def assign_ids(existing: DataFrame, new: DataFrame, order: Sequence[str]) -> DataFrame:
@@ -100,14 +99,20 @@ def new_ids(page: DataFrame, seen: DataFrame, key: str = "review_id") -> DataFra
 def insert_new(
     existing: DataFrame, incoming: DataFrame, key: str, order: Sequence[str]
 ) -> DataFrame:
-    """Incoming rows whose key is neither stored nor earlier in the input.
+    """Incoming rows whose key is neither stored nor earlier in the input."""
+    return first_per_key(incoming, [key], order, taken=existing)
 
-    Stored keys are first reduced to those the input has. For a load that is small beside the
-    table this makes the big side a filter on one column instead of a shuffle.
-    """
-    first = first_per_key(incoming, [key], order)
-    present = existing.select(key).join(incoming.select(key).distinct(), key, "left_semi")
-    return first.join(present, key, "left_anti")
+
+def numbered_position(rows: DataFrame) -> DataFrame:
+    """Adds ``_pos``, the input position as one number: rows of earlier files, in the order of
+    sources and file names, come first. ``_row`` is below 2^63 and differs between the rows of a
+    source. A number of fixed width can be hash-aggregated, unlike a file's name."""
+    files = rows.select("_source", "_file").distinct()  # one row per file
+    number = F.row_number().over(W.orderBy("_source", "_file"))
+    files = files.select("_source", "_file", number.cast("decimal(19,0)").alias("_no"))
+    scale = F.lit(1 << 62).cast("decimal(19,0)") * F.lit(2).cast("decimal(1,0)")
+    return rows.join(files, ["_source", "_file"]).withColumn(
+        "_pos", (F.col("_no") * scale + F.col("_row")).cast("decimal(38,0)")).drop("_no")
 
 
 def resolve_fk(facts: DataFrame, apps: DataFrame, users: DataFrame, platforms: DataFrame):
@@ -121,12 +126,12 @@ def resolve_fk(facts: DataFrame, apps: DataFrame, users: DataFrame, platforms: D
 
 
 def insert_labels(existing: DataFrame, reviews: DataFrame, sentiment: str, at: Column):
-    """Labels of newly inserted reviews; values outside the allowed ones give no label."""
+    """Labels of newly inserted reviews; values outside the allowed ones give no label. The ids of
+    new reviews are new, so no label that is there can be of one of them."""
     allowed = reviews.filter(F.col(sentiment).isin(SENTIMENTS)).select(
         F.col("id").alias("review_fk"), F.col(sentiment).alias("sentiment")
     )
-    new = allowed.join(existing.select("review_fk"), "review_fk", "left_anti")
-    return assign_ids(existing, new, ["review_fk"]).select(
+    return assign_ids(existing, allowed, ["review_fk"]).select(
         "id", "review_fk", "sentiment", F.lit(STAR_RULE).alias("label_method"),
         at.alias("labelled_at"),
     )
@@ -264,9 +269,10 @@ def ingest_rows(
 ) -> DataFrame:
     """Load rows that carry ``platform_key`` and an input position; see ``ingest``.
 
-    The input is parsed once into a staging table. Every later step reads the columns it needs
-    from there, and ids are read back from what was written, so a lost executor cannot make two
-    steps see different rows.
+    The input is parsed once into a staging table. Keys, ids and positions are worked out on narrow
+    rows of it and end in a stored mapping from position to ids, which the texts then join once.
+    Every step reads what an earlier one has written, so a lost executor cannot make two steps see
+    different rows. ``_row`` is below 2^63 and differs between the rows of a source.
     """
     root = root.rstrip("/")
     stamp = run_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
@@ -275,10 +281,15 @@ def ingest_rows(
     try:
         return _load(spark, rows, root, names, platforms, at, load_id)
     except Exception:
+        _drop(spark, _staging(root, load_id))
         _record(spark, root, load_id, at, names, platforms, {}, {}, "failed")
         raise
 
 
+def _staging(root: str, load_id: int) -> str:
+    return f"{root}/_staging/load_id={load_id}"
+
+
 def _next_load(spark: SparkSession, root: str) -> int:
     top = _stored(spark, root, "ingestion_runs").agg(F.max("id"), F.max("load_id")).first()
     load_id = max(top[0] or 0, top[1] or 0) + 1
@@ -289,7 +300,7 @@ def _next_load(spark: SparkSession, root: str) -> int:
 
 
 def _load(spark, rows, root, names, platforms, at, load_id) -> DataFrame:
-    staging = f"{root}/_staging/load_id={load_id}"
+    staging = _staging(root, load_id)
     row_hash = F.xxhash64(*[c for c in rows.columns if c not in POSITION])
     checked = validate(rows.withColumn("_hash", row_hash))
     normalise_row(checked).write.mode("errorifexists").parquet(staging)
@@ -312,6 +323,10 @@ def _load(spark, rows, root, names, platforms, at, load_id) -> DataFrame:
         """What earlier loads and this one have written so far."""
         return _of_loads(_stored(spark, root, table), loads, load_id)
 
+    # ids, keys and positions are worked out without the texts
+    narrow = stored(numbered_position(valid.select(
+        "review_id", "app_name", "username", "platform_key", *POSITION)), "keys")
+
     # the platforms are given; apps and users come from all valid rows, duplicates included
     given = literal_rows(spark, list(enumerate(platforms)), ["_at", "platform_key"])
     new_platforms = upsert_dim(visible("platforms"), given, ["platform_key"], ["_at"])
@@ -319,19 +334,22 @@ def _load(spark, rows, root, names, platforms, at, load_id) -> DataFrame:
            root, "platforms", load_id)
     all_platforms = visible("platforms")
     p = all_platforms.select(F.col("id").alias("platform_fk"), "platform_key")
-    keyed = valid.join(F.broadcast(p), "platform_key")
+    keyed = narrow.join(F.broadcast(p), "platform_key")
     for table, name in (("apps", "app_name"), ("users", "username")):
         keys = [name, "platform_fk"]
-        new = upsert_dim(visible(table), keyed.select(*keys, *POSITION), keys, POSITION)
+        new = upsert_dim(visible(table), keyed.select(*keys, "_pos"), keys, ["_pos"])
         _write(new, root, table, load_id)
 
     before = visible("reviews")
-    fresh = assign_ids(before, insert_new(before, valid, "review_id", POSITION), POSITION)
+    fresh = insert_new(before, narrow.drop("_file"), "review_id", ["_pos"])
     facts = resolve_fk(fresh, visible("apps"), visible("users"), all_platforms)
-    run_id = F.lit(load_id) + F.col("_source")
-    out = facts.withColumn("ingestion_run", run_id.cast("long")).withColumn(
-        "_given_sentiment", F.col("sentiment")
-    )
+    mapped = stored(assign_ids(before, facts.select(
+        "_source", "_row", "_pos", "app_fk", "user_fk", "platform_fk"), ["_pos"]), "mapping")
+    # here the texts come in
+    out = valid.join(mapped.drop("_pos"), ["_source", "_row"]).withColumns({
+        "ingestion_run": (F.lit(load_id) + F.col("_source")).cast("long"),
+        "_given_sentiment": F.col("sentiment"),
+    })
     cols = [c.split()[0] for c in f"{WAREHOUSE['reviews']}, {EXTRA}".split(", ")]
     # dates next to each other give the row groups narrow date ranges to prune by
     _write(out.select(*[c for c in cols if c != "load_id"]).sortWithinPartitions("review_date"),

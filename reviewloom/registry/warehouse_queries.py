@@ -9,7 +9,6 @@ from reviewloom.plans import warehouse as W
 from reviewloom.registry import views as V
 from reviewloom.schemas import PLATFORM_NAMES, WAREHOUSE
 from reviewloom.session import shared_dir
-from reviewloom.sources.readers import POSITION
 
 L = V.with_load
 PLATFORM = "googleplay"
@@ -50,11 +49,11 @@ SPLIT_COLS = ("review_id, app_name, platform_key, star_rating, review_date, md5(
 
 def new_users(spark, sf):
     """Users of the apple rows that the googleplay rows do not have, whatever the platform."""
-    rows = valid_rows(spark, sf)
+    rows = W.numbered_position(valid_rows(spark, sf))
     google = rows.filter(F.col("platform_key") == "googleplay")
     stored = google.select("username").distinct().withColumn("id", F.lit(0).cast("long"))
     incoming = rows.filter(F.col("platform_key") == "apple")
-    return W.upsert_dim(stored, incoming, ["username"], POSITION).select("username")
+    return W.upsert_dim(stored, incoming, ["username"], ["_pos"]).select("username")
 
 
 NEW_USERS_SQL = """SELECT DISTINCT username FROM valid WHERE platform_key = 'apple'
@@ -63,9 +62,9 @@ NEW_USERS_SQL = """SELECT DISTINCT username FROM valid WHERE platform_key = 'app
 
 def new_reviews(spark, sf):
     """The apple rows as a second load after the googleplay rows."""
-    rows = valid_rows(spark, sf)
+    rows = W.numbered_position(valid_rows(spark, sf))
     google = F.col("platform_key") == "googleplay"
-    return W.insert_new(rows.filter(google), rows.filter(~google), "review_id", POSITION).select(
+    return W.insert_new(rows.filter(google), rows.filter(~google), "review_id", ["_pos"]).select(
         "review_id", "app_name", "username", "star_rating", "review_date"
     )
 
@@ -132,9 +131,9 @@ OUTCOME_SQL = """SELECT count(*) AS rows_in_file,
   count(*) FILTER (reject_reason IS NULL)
     - count(DISTINCT review_id) FILTER (reject_reason IS NULL) AS rows_skipped,
   count(*) FILTER (reject_reason IS NOT NULL) AS rows_rejected,
-  count(*) FILTER (reject_reason = 'empty review_id') AS empty_id,
-  count(*) FILTER (reject_reason = 'empty review text') AS empty_text,
-  count(*) FILTER (reject_reason = 'star_rating out of range') AS bad_star
+  count(*) FILTER (reject_reason = 'no_id') AS empty_id,
+  count(*) FILTER (reject_reason = 'no_text') AS empty_text,
+  count(*) FILTER (reject_reason = 'bad_star') AS bad_star
 FROM typed"""
 
 

@@ -1,6 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -8,6 +9,7 @@ from reviewloom.operators import describe as D
 from reviewloom.operators import hypothesis as H
 from reviewloom.operators.cleaning import clean, clean_audit
 from reviewloom.operators.order_stats import dense_number, first_per_key, quantiles
+from reviewloom.operators.tables import stored
 
 RAW = [
     ("a1", "5", "2024-01-05", "Great app, love it!"),
@@ -58,14 +60,73 @@ def test_first_per_key_with_a_hot_key(spark):
     assert got.filter("k = 0").first()["v"] == 699
 
 
-def test_dense_number_crosses_blocks(spark):
+def test_first_per_key_of_nulls_taken_keys_and_places_of_two_columns(spark):
+    df = spark.createDataFrame(
+        [(None, 1, "b", "x"), (None, 1, "a", "y"), ("p", 2, "a", "z"), ("p", 1, "c", "w"),
+         ("q", 0, "a", "v"), ("r", 5, "a", None)], "k string, s int, f string, v string")
+    got = first_per_key(df, ["k"], ["s", "f"])
+    assert got.columns == df.columns
+    assert {r["v"] for r in got.collect()} == {"y", "w", "v", None}
+    taken = spark.createDataFrame([("q", 1), (None, 2), ("t", 3)], "k string, other int")
+    assert {r["v"] for r in first_per_key(df, ["k"], ["s", "f"], taken).collect()} == {"w", None}
+    assert first_per_key(df.limit(0), ["k"], ["s", "f"]).collect() == []
+
+
+def exchanged(df):
+    """Columns of every exchange of a plan, and the plan's text."""
+    plan = df._jdf.queryExecution().executedPlan()
+    text = plan.toString()
+    found, todo = [], [plan.initialPlan() if hasattr(plan, "initialPlan") else plan]
+    while todo:
+        node = todo.pop()
+        if "Exchange" in node.nodeName():
+            out = node.output()
+            found.append([out.apply(i).name() for i in range(out.size())])
+        kids = node.children()
+        todo += [kids.apply(i) for i in range(kids.size())]
+    return found, text
+
+
+def test_texts_are_not_shuffled_for_first_rows(spark):
+    raw = spark.createDataFrame(
+        [(k, f"id{k % 40}", "app", "u", "5", "2024-01-05", "a great app " * 9) for k in range(99)],
+        "pos long, review_id string, app_name string, user string, star_rating string, "
+        "date string, review string")
+    for df in (first_per_key(raw, ["review_id"], ["pos"]), clean(raw, ["pos"])):
+        columns, text = exchanged(df)
+        assert df.count() == 40
+        assert not any("review" in c for c in columns)
+        assert "SortAggregate" not in text
+
+
+def test_dense_number(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("g"), (F.col("id") * 7).alias("pos"))
-    got = dense_number(df.repartition(5), ["pos"], "n", by=["g"], block_rows=8)
+    got = dense_number(df.repartition(5), ["pos"], "n", by=["g"])
     for g in range(3):
         numbers = [r["n"] for r in got.filter(F.col("g") == g).orderBy("pos").collect()]
         assert numbers == list(range(len(numbers)))
 
 
+def test_dense_number_of_sparse_and_of_crowded_ids(spark):
+    far = spark.range(200_000).select((F.col("id") * F.lit(1 << 40)).alias("pos"))
+    crowded = spark.range(50_000).select(F.col("id").alias("pos"))
+    df = far.unionAll(crowded.filter("pos % 5 > 0")).distinct()
+    least = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    spark.conf.set(least, "64k")  # so few rows would be one range
+    try:
+        ranges = stored(df.repartitionByRange("pos").withColumn("p", F.spark_partition_id()), "t")
+        got = dense_number(df, ["pos"], "n", start=F.lit(7))
+    finally:
+        spark.conf.unset(least)
+    sizes = [r["n"] for r in ranges.groupBy("p").agg(F.count("*").alias("n")).collect()]
+    assert 1 < len(sizes) <= 64 and max(sizes) < 0.6 * sum(sizes)
+    n = df.count()
+    ends = got.agg(F.min("n"), F.max("n"), F.countDistinct("n")).first()
+    assert tuple(ends) == (7, n + 6, n)
+    wrong = got.withColumn("after", F.lead("n").over(Window.orderBy("pos"))).filter("after <> n + 1")
+    assert wrong.count() == 0
+
+
 @pytest.fixture(scope="module")
 def sample(spark):
     rng = np.random.default_rng(0)

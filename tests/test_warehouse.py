@@ -146,3 +146,42 @@ def test_streams(spark, csv, tmp_path):
     ingest_stream(stream, root, "apple", str(tmp_path / "c2")).awaitTermination()
     assert W.read_table(spark, root, "reviews").count() == 5
     assert W.read_table(spark, root, "ingestion_runs").count() == 2
+
+
+def test_texts_meet_their_ids_once(spark, csv, tmp_path, monkeypatch):
+    """The rows written as reviews come from one join of the texts with stored ids."""
+    plans = []
+    write = W._write
+
+    def keep(df, root, table, load_id):
+        if table == "reviews":
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(df, root, table, load_id)
+
+    monkeypatch.setattr(W, "_write", keep)
+    W.ingest(spark, [(csv, "apple")], str(tmp_path / "db"))
+    assert len(plans) == 1 and plans[0].count("Join") == 1
+    assert "Aggregate" not in plans[0] and "Window" not in plans[0].split("Join")[0]
+
+
+def test_new_rows_by_number(spark):
+    rows = spark.createDataFrame(
+        [(0, "b", 5, "x", "t1"), (0, "a", 9, "x", "t2"), (1, "a", 0, "y", "t3"),
+         (1, "a", 1, "z", "t4")], "_source int, _file string, _row long, review_id string, t string")
+    placed = W.numbered_position(rows)
+    assert [r["t"] for r in placed.orderBy("_pos").collect()] == ["t2", "t1", "t3", "t4"]
+    old = spark.createDataFrame([("z",)], "review_id string")
+    new = W.insert_new(old, placed, "review_id", ["_pos"])
+    assert {r["t"] for r in new.collect()} == {"t2", "t3"}
+    plan = new._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+
+
+def test_failed_load_leaves_no_staging(spark, csv, tmp_path, monkeypatch):
+    root = str(tmp_path / "db")
+    monkeypatch.setattr(W, "upsert_dim", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        W.ingest(spark, [(csv, "apple")], root)
+    assert not W.path_exists(spark, f"{root}/_staging/load_id=1")
+    monkeypatch.undo()
+    assert W.ingest(spark, [(csv, "apple")], root).first()["rows_inserted"] == 5
