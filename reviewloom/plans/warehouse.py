@@ -371,6 +371,12 @@ def _load(spark, rows, root, names, platforms, at, load_id) -> DataFrame:
     return runs
 
 
+def loaded_before(spark: SparkSession, root: str, name: str) -> bool:
+    """Whether a load of this source name has been published."""
+    runs = _stored(spark, root.rstrip("/"), "ingestion_runs")
+    return not runs.filter((F.col("source_file") == name) & (F.col("status") == "success")).isEmpty()
+
+
 def _drop(spark, path) -> None:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

@@ -159,34 +159,41 @@ def splits_on_disk(spark, sf):
 # --- streams -------------------------------------------------------------------------------
 
 
-def stream_of(spark, sf, rows):
-    """The rows as files of two pages, the second one repeating the first, and a stream on them."""
-    pages = shared_dir(spark, "pages")
-    rows.write.parquet(f"{pages}/a")
-    rows.write.mode("append").parquet(f"{pages}/a")
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 16).parquet(f"{pages}/a")
+def stream_of(spark, sf, page, repeat):
+    """Two pages in the order of the rows' numbers, the second as a batch of its own."""
+    path = shared_dir(spark, "pages")
+    page.write.parquet(path)
+    first = len(spark.read.schema(page.schema).parquet(path).inputFiles())
+    repeat.write.mode("append").parquet(path)
+    return spark.readStream.schema(page.schema).option("maxFilesPerTrigger", first).parquet(path)
 
 
 def deduped_stream(spark, sf):
-    rows = V.raw(spark, sf).select("review_id", "app_name")
+    """Whole first records; those of the second page have another text and come too late."""
+    page = V.raw(spark, sf)
+    repeat = page.withColumn("review", F.concat(F.lit("changed "), F.col("review")))
     out, check = shared_dir(spark, "deduped"), shared_dir(spark, "state")
-    write_stream(dedupe_stream(stream_of(spark, sf, rows)), out, check).awaitTermination()
-    return spark.read.parquet(out).select("review_id")
+    stream = stream_of(spark, sf, page, repeat)
+    write_stream(dedupe_stream(stream, order=["doc_id"]), out, check).awaitTermination()
+    return spark.read.parquet(out).withColumn("review_md5", F.md5("review")).drop("review")
 
 
 def loaded_stream(spark, sf):
     """A stream of cleaned rows into a new warehouse; the repeated page adds nothing."""
-    rows = V.load_rows(spark, sf).drop("doc_id", "platform_key")
+    page = V.load_rows(spark, sf).orderBy("doc_id").drop("doc_id", "platform_key")
     root, check = shared_dir(spark, "stream-db"), shared_dir(spark, "state")
-    stream = stream_of(spark, sf, rows)
+    stream = stream_of(spark, sf, page, page)
     ingest_stream(stream, root, "googleplay", check).awaitTermination()
-    totals = warehouse_totals(read_warehouse(spark, root))
-    return totals.filter(F.col("metric") != "sentiment_labels")
+    return warehouse_totals(read_warehouse(spark, root))
 
 
 STREAM_SQL = """SELECT 'reviews' AS metric, count(DISTINCT review_id) AS n FROM valid
 UNION ALL SELECT 'apps', count(DISTINCT app_name) FROM valid
-UNION ALL SELECT 'users', count(DISTINCT username) FROM valid"""
+UNION ALL SELECT 'users', count(DISTINCT username) FROM valid
+UNION ALL SELECT 'sentiment_labels', count(*) FROM (
+  SELECT sentiment FROM valid
+  QUALIFY row_number() OVER (PARTITION BY review_id ORDER BY doc_id) = 1)
+WHERE sentiment IN ('positive', 'neutral', 'negative', 'unrated')"""
 
 
 QUERIES = {
@@ -212,6 +219,8 @@ FROM ov GROUP BY 1, 2""")),
     "split_run": (run_row, RUN_SQL),
     "read_splits": (splits_on_disk, S_(
         "SELECT review_id, split, sentiment, md5(review_text) AS text_md5 FROM sp")),
-    "dedupe_stream": (deduped_stream, V.with_raw("SELECT DISTINCT review_id FROM raw")),
+    "dedupe_stream": (deduped_stream, V.with_raw(
+        "SELECT raw.* EXCLUDE (review), md5(review) AS review_md5 FROM raw "
+        "QUALIFY row_number() OVER (PARTITION BY review_id ORDER BY doc_id) = 1")),
     "ingest_stream": (loaded_stream, V.with_load(STREAM_SQL)),
 }

@@ -1,3 +1,6 @@
+import datetime as dt
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -6,6 +9,7 @@ from reviewloom.operators.audit import fingerprint, portable_fingerprint
 from reviewloom.plans import warehouse as W
 from reviewloom.sources.readers import combine_sources, read_clean_reviews, read_raw_reviews
 from reviewloom.sources.writers import write_reviews
+from reviewloom.streaming import streams as S
 from reviewloom.streaming.streams import dedupe_stream, ingest_stream, write_stream
 
 D = "2024-01-05"
@@ -185,3 +189,80 @@ def test_failed_load_leaves_no_staging(spark, csv, tmp_path, monkeypatch):
     assert not W.path_exists(spark, f"{root}/_staging/load_id=1")
     monkeypatch.undo()
     assert W.ingest(spark, [(csv, "apple")], root).first()["rows_inserted"] == 5
+
+
+def at(minutes):
+    return dt.datetime(2024, 1, 5, 10) + dt.timedelta(minutes=minutes)
+
+
+def test_first_record_of_a_stream_is_kept_whole(spark, tmp_path):
+    first = [("a", at(1), 2, "late", 1), ("a", at(0), 1, "first", None), ("b", at(2), 3, None, 4),
+             (None, at(2), 4, "no id", 5), (None, at(2), 5, "no id", 5)]
+    path = str(tmp_path / "stream")
+    schema = "review_id string, at timestamp, place long, review string, star int"
+    spark.createDataFrame(first, schema).coalesce(1).write.parquet(f"{path}/page=0")
+    time.sleep(1.1)
+    changed = [("a", at(-9), 0, "changed", 2), ("c", at(3), 9, "new", 3)]
+    spark.createDataFrame(changed, schema).coalesce(1).write.parquet(f"{path}/page=1")
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+              .parquet(f"{path}/page=*"))
+    out = str(tmp_path / "out")
+    kept = dedupe_stream(stream, order=["place"])
+    write_stream(kept, out, str(tmp_path / "c")).awaitTermination()
+    got = {tuple(r) for r in spark.read.parquet(out).collect()}
+    assert got == {("a", at(0), 1, "first", None), ("b", at(2), 3, None, 4),
+                   (None, at(2), 4, "no id", 5), ("c", at(3), 9, "new", 3)}
+
+
+def test_ids_are_forgotten_after_the_lateness(spark, tmp_path):
+    path = str(tmp_path / "stream")
+    schema = "review_id string, at timestamp, review string"
+    pages = [[("a", at(0), "first")], [("a", at(5), "repeat"), ("b", at(60), "far on")],
+             [("a", at(1), "too late"), ("d", at(61), "d")], [("a", at(90), "counts as new")]]
+    for k, page in enumerate(pages):
+        spark.createDataFrame(page, schema).coalesce(1).write.parquet(f"{path}/page={k}")
+        time.sleep(1.1)
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+              .parquet(f"{path}/page=*"))
+    out = str(tmp_path / "out")
+    kept = dedupe_stream(stream, order=["at"], event_time="at", lateness="10 minutes")
+    write_stream(kept, out, str(tmp_path / "c")).awaitTermination()
+    texts = sorted(r["review"] for r in spark.read.parquet(out).collect())
+    assert texts == ["counts as new", "d", "far on", "first"]
+    with pytest.raises(ValueError):
+        dedupe_stream(stream, lateness="1 hour")
+
+
+def test_replayed_batch_adds_nothing(spark, csv, tmp_path, monkeypatch):
+    pages, root, check = (str(tmp_path / n) for n in ("pages", "db", "check"))
+    page = read_clean_reviews(spark, csv, "apple").drop(
+        "platform_key", "_source", "_file", "_row").coalesce(1)
+    page.write.parquet(pages)
+    stream = spark.readStream.schema(page.schema).parquet(pages)
+    published = S.ingest_rows
+
+    def crash(*args):
+        published(*args)
+        raise RuntimeError("stopped after the load, before the stream's own commit")
+
+    with monkeypatch.context() as m:
+        m.setattr(S, "ingest_rows", crash)
+        with pytest.raises(Exception):
+            ingest_stream(stream, root, "apple", check).awaitTermination()
+    totals = {r["metric"]: r["n"] for r in W.warehouse_totals(W.read_warehouse(spark, root)).collect()}
+    assert totals == {"reviews": 5, "apps": 1, "users": 4, "sentiment_labels": 4}
+    ingest_stream(stream, root, "apple", check).awaitTermination()
+    assert W.read_table(spark, root, "ingestion_runs").count() == 1  # found, not loaded again
+    again = {r["metric"]: r["n"] for r in W.warehouse_totals(W.read_warehouse(spark, root)).collect()}
+    assert again == totals
+
+    # a load that failed is made again when its batch is replayed
+    root2, check2 = str(tmp_path / "db2"), str(tmp_path / "check2")
+    with monkeypatch.context() as m:
+        m.setattr(W, "insert_labels", lambda *a: 1 / 0)
+        with pytest.raises(Exception):
+            ingest_stream(stream, root2, "apple", check2).awaitTermination()
+    ingest_stream(stream, root2, "apple", check2).awaitTermination()
+    assert W.read_table(spark, root2, "reviews").count() == 5
+    files = {r["source_file"].split("#")[1] for r in W.read_table(spark, root2, "ingestion_runs").collect()}
+    assert files == {"0"}
