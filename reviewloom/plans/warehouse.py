@@ -2,7 +2,13 @@
 
 A load writes each table's new rows into a folder of its own, ``<root>/<table>/load_id=<n>``, and
 appends its run rows last. Readers only see loads that have a successful run, so a load that
-stops half-way is invisible, and nothing is renamed or overwritten. One load runs at a time.
+stops half-way is invisible, and nothing is renamed or overwritten. One load or compaction runs at
+a time.
+
+Many small loads make many small folders. ``compact`` copies what can be seen into one folder per
+table and publishes them by a snapshot, one write that holds all run rows until then: readers take
+the newest snapshot and the loads after it. Older folders stay as they are for those who still read
+them, until ``drop_superseded`` removes them.
 """
 
 from __future__ import annotations
@@ -193,18 +199,48 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+SNAPSHOTS = "_snapshots"
+
+
+def _listed(spark: SparkSession, path: str) -> list[tuple[str, list[str]]]:
+    """Sub-folders of a folder and the names in each."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    return [(f.getPath().getName(), [x.getPath().getName() for x in fs.listStatus(f.getPath())])
+            for f in fs.listStatus(p) if f.isDirectory()]
+
+
+def _snapshot(spark: SparkSession, root: str) -> int:
+    """Load id of the newest published snapshot, 0 for none. A job that writes moves its files in
+    when it commits, so a folder without any was not published."""
+    return max((int(name.split("=")[1]) for name, files in _listed(spark, f"{root}/{SNAPSHOTS}")
+                if any(f.startswith("part-") for f in files)), default=0)
+
+
 def _stored(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """All rows of a table, of unfinished loads too."""
+    """All rows of a table since the newest snapshot and in it, of unfinished loads too. The folder
+    column prunes what came before."""
     schema = WAREHOUSE[table]
     if table == "reviews":
         schema = f"{schema}, {EXTRA}"
     else:
         schema = f"{schema}, load_id long"
+    since = _snapshot(spark, root)
     path = f"{root}/{table}"
-    if not path_exists(spark, path):
+    if path_exists(spark, path):
+        rows = spark.read.schema(schema).parquet(path)
+    else:
         fields = [c.split() for c in schema.split(", ")]
-        return spark.range(0).select(*[F.lit(None).cast(t).alias(c) for c, t in fields])
-    return spark.read.schema(schema).parquet(path)
+        rows = spark.range(0).select(*[F.lit(None).cast(t).alias(c) for c, t in fields])
+    if not since:
+        return rows
+    if table == "ingestion_runs":  # the snapshot itself holds the older ones
+        older = spark.read.schema(schema).parquet(f"{root}/{SNAPSHOTS}")
+        return rows.filter(F.col("load_id") > since).unionByName(
+            older.filter(F.col("load_id") == since))
+    return rows.filter(F.col("load_id") >= since)
 
 
 def _finished(spark: SparkSession, root: str) -> DataFrame:
@@ -404,6 +440,44 @@ def _record(spark, root, load_id, at, names, platforms, counts, inserted, status
     return spark.read.schema(WAREHOUSE["ingestion_runs"]).parquet(path)
 
 
+def compact(spark: SparkSession, root: str) -> int:
+    """Puts what can be seen now into one folder per table; the load id of the snapshot, or 0 if
+    there is no load yet.
+
+    Nothing is shuffled: small files are packed into tasks and each task writes one. The snapshot
+    is written last. If the job stops before, its folders belong to no load and are never seen.
+    """
+    root = root.rstrip("/")
+    runs = _stored(spark, root, "ingestion_runs")
+    if runs.isEmpty():
+        return 0
+    load_id = _next_load(spark, root)
+    loads = _finished(spark, root)
+    for table in WAREHOUSE:
+        if table == "ingestion_runs":
+            continue
+        rows = _of_loads(_stored(spark, root, table), loads).drop("load_id")
+        if table == "reviews":
+            rows = rows.sortWithinPartitions("review_date")
+        _write(rows, root, table, load_id)
+    _write(runs.drop("load_id").coalesce(1), root, SNAPSHOTS, load_id)
+    return load_id
+
+
+def drop_superseded(spark: SparkSession, root: str) -> list[str]:
+    """Removes the folders that came before the newest snapshot, and the staging of loads that were
+    cut off; their paths. Who still reads them fails, so run it when older readers are done."""
+    root = root.rstrip("/")
+    since = _snapshot(spark, root)
+    gone = []
+    for table in (*WAREHOUSE, SNAPSHOTS, "_staging"):
+        for name, _ in _listed(spark, f"{root}/{table}"):
+            if int(name.split("=")[1]) < since:
+                gone.append(f"{root}/{table}/{name}")
+                _drop(spark, gone[-1])
+    return sorted(gone)
+
+
 # --- queries on the warehouse ---------------------------------------------------------------
 
 

@@ -266,3 +266,50 @@ def test_replayed_batch_adds_nothing(spark, csv, tmp_path, monkeypatch):
     assert W.read_table(spark, root2, "reviews").count() == 5
     files = {r["source_file"].split("#")[1] for r in W.read_table(spark, root2, "ingestion_runs").collect()}
     assert files == {"0"}
+
+
+def test_compaction(spark, csv, tmp_path, monkeypatch):
+    root = str(tmp_path / "db")
+    assert W.compact(spark, root) == 0
+    page = spark.read.options(header=True, multiLine=True, escape='"').csv(csv)
+    for k in range(4):
+        path = str(tmp_path / f"in{k}")
+        page.withColumn("review_id", F.when(F.trim("review_id") != "", F.concat(
+            "review_id", F.lit(f"-{k // 2}")))).write.option("header", True).parquet(path)
+        W.ingest(spark, [(path, "apple")], root, fmt="parquet")
+    with monkeypatch.context() as m:
+        m.setattr(W, "insert_labels", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            W.ingest(spark, [(csv, "googleplay")], root)
+
+    def seen():
+        wh = W.read_warehouse(spark, root)
+        return {t: (df.count(), fingerprint(df).first()) for t, df in wh.items()}
+
+    before, reader = seen(), W.read_warehouse(spark, root)["reviews"]
+    assert before["reviews"][0] == 10 and before["ingestion_runs"][0] == 5
+
+    # one that stops before it is published changes nothing
+    write = W._write
+    with monkeypatch.context() as m:
+        m.setattr(W, "_write", lambda df, r, table, n: 1 / 0 if table == W.SNAPSHOTS
+                  else write(df, r, table, n))
+        with pytest.raises(ZeroDivisionError):
+            W.compact(spark, root)
+    assert seen() == before
+
+    made = W.compact(spark, root)
+    assert seen() == before and W._snapshot(spark, root) == made
+    assert reader.count() == 10  # older readers go on
+    W.ingest(spark, [(csv, "apple")], root)
+    after = seen()
+    assert after["reviews"][0] == 15 and after["ingestion_runs"][0] == 6
+    ids = [r["id"] for r in W.read_table(spark, root, "reviews").orderBy("id").collect()]
+    assert ids == list(range(1, 16))
+
+    assert W.compact(spark, root) > made and seen() == after
+    gone = W.drop_superseded(spark, root)
+    assert len(gone) > 20 and seen() == after
+    for table in ("reviews", "apps", "users", "platforms", "sentiment_labels", W.SNAPSHOTS):
+        assert len(W._listed(spark, f"{root}/{table}")) == 1
+    assert W.drop_superseded(spark, root) == []
