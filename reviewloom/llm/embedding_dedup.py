@@ -7,8 +7,8 @@ values make a bucket follows from the number of vectors, and how many tables fro
 miss a link at the threshold.
 
 Equal vectors are one node. Each bucket's best connected node is compared with the others first,
-which joins most of a group of copies; only groups that still hold several components are compared
-further, and only members outside the group's largest component with all the others. Links within
+which joins most of a group of copies; only buckets that still hold several components are compared
+further, and only members outside the bucket's largest component with all the others. Links within
 a component are counted without listing them: the members inside a ball of half the threshold's
 angle around the component's centre are all linked with each other, so only the rest is compared.
 """
@@ -196,19 +196,48 @@ def _met(rows: DataFrame, key: str, few: str) -> DataFrame:
     return ahead.unionByName(behind).drop("_ku", "_kv")
 
 
-def connecting_links(groups: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
-    """Links between different components of a group, as many as connect what is connected.
+def _each_group(rows: DataFrame, keys: list[str], use, schema: str) -> DataFrame:
+    """``use`` of the rows of every key, as a table, in the tasks that get the key. Groups are many
+    and small, so they are taken from sorted rows one after another."""
 
-    ``groups``: ``centre``, ``n``, ``comp``. Members outside the largest component of their group
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # of the group that may go on
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+            new = np.zeros(batch.num_rows, bool)
+            for c in columns:
+                new[1:] |= c[1:] != c[:-1]
+            starts = [0, *np.flatnonzero(new).tolist(), batch.num_rows]
+            if held and tuple(c[0] for c in columns) != last:
+                yield from use(pa.Table.from_batches(held)).to_batches()
+                held = []
+            for lo, hi in zip(starts[:-2], starts[1:-1], strict=True):
+                yield from use(pa.Table.from_batches([*held, batch.slice(lo, hi - lo)])).to_batches()
+                held = []
+            held.append(batch.slice(starts[-2]))
+            last = tuple(c[-1] for c in columns)
+        if held:
+            yield from use(pa.Table.from_batches(held)).to_batches()
+
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+
+
+def connecting_links(members: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+    """Links between different components in a bucket, as many as connect what is connected.
+
+    ``members``: ``bucket``, ``n``, ``comp``. Members outside the largest component of their bucket
     meet all members; inside a task, pairs that a link has already joined are passed over, so it
     gives fewer links than it has rows.
     """
-    per_comp = groups.groupBy("centre", "comp").agg(F.count("*").alias("_n"))
-    largest = per_comp.groupBy("centre").agg(
-        F.max(F.struct("_n", "comp")).alias("_top"), F.sum("_n").alias("_all"), F.count("*").alias("_c"))
-    mixed = largest.filter("_c > 1 and _all > 2").select("centre", F.col("_top.comp").alias("_top"))
-    rows = groups.join(mixed, "centre").join(nodes.select("n", "vec"), "n").withColumn(
-        "_few", F.col("comp") != F.col("_top")).drop("_top")
+    per_comp = members.groupBy("bucket", "comp").agg(F.count("*").alias("_n"))
+    largest = per_comp.groupBy("bucket").agg(
+        F.max(F.struct("_n", "comp")).alias("_top"), F.count("*").alias("_c"))
+    mixed = largest.filter("_c > 1").select("bucket", F.col("_top.comp").alias("_top"))
+    rows = stored(members.join(mixed, "bucket").withColumn("_few", F.col("comp") != F.col("_top")
+                                                           ).drop("_top"), "mixed")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def compare(table: pa.Table) -> pa.Table:
@@ -225,8 +254,9 @@ def connecting_links(groups: DataFrame, nodes: DataFrame, threshold: float) -> D
         return pa.Table.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())],
                                     schema=schema)
 
-    return _met(rows, "centre", "_few").groupBy("centre", "_u", "_v").applyInArrow(
-        compare, "a long, b long")
+    met = _met(rows, "bucket", "_few").join(nodes.select("n", "vec"), "n").select(
+        "bucket", "_u", "_v", "_from", "n", "comp", "vec")
+    return _each_group(met, ["bucket", "_u", "_v"], compare, "a long, b long")
 
 
 def link_counts(members: DataFrame, threshold: float) -> DataFrame:
@@ -251,7 +281,7 @@ def link_counts(members: DataFrame, threshold: float) -> DataFrame:
         for x, c in series:
             yield pd.Series(np.arccos(np.minimum(row_cosines(x, c), 1.0)) <= reach)
 
-    centres = sample.groupBy("comp").applyInArrow(centre, "comp long, _c binary")
+    centres = _each_group(sample.select("comp", "vec"), ["comp"], centre, "comp long, _c binary")
     blocks = sizes.join(centres, "comp", "left").select(
         "comp", "_c", "_k", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)).alias("_s"))
     # a centre has a copy for each block of its component
@@ -278,8 +308,9 @@ def link_counts(members: DataFrame, threshold: float) -> DataFrame:
             pa.array(np.r_[met @ weight[other], there @ weight[one]].astype("int64"))],
             schema=schema)
 
-    rest = _met(marked.withColumn("_few", ~F.col("_in")), "comp", "_few").groupBy(
-        "comp", "_u", "_v").applyInArrow(count, "n long, links long")
+    rest = _each_group(_met(marked.withColumn("_few", ~F.col("_in")), "comp", "_few").select(
+        "comp", "_u", "_v", "_from", "n", "weight", "vec", "_in"), ["comp", "_u", "_v"], count,
+        "n long, links long")
     return own.unionAll(rest).groupBy("n").agg(F.sum("links").alias("links"))
 
 
@@ -315,14 +346,15 @@ def near_vectors(
         F.min(F.struct(-F.col("_degree"), "n")).alias("_r")).select(
         "bucket", F.col("_r.n").alias("centre"))
     # a group: the nodes that share some bucket with its centre
-    groups = stored(members.join(centres, "bucket").select("centre", "n").distinct(), "groups")
+    groups = members.join(centres, "bucket").select("centre", "n").distinct()
     spokes = groups.filter("n <> centre").select(
         F.least("centre", "n").alias("lo"), F.greatest("centre", "n").alias("hi"), "centre", "n")
     # two centres that share a bucket are one pair
     spokes = spokes.groupBy("lo", "hi").agg(F.min("centre").alias("a")).select(
         "a", F.when(F.col("a") == F.col("lo"), F.col("hi")).otherwise(F.col("lo")).alias("b"))
     comps = stars(linked_pairs(spokes, nodes, threshold))
-    more = stored(connecting_links(_components(groups, comps), nodes, threshold), "links")
+    rest = members.filter("_size > 2").select("bucket", "n")
+    more = stored(connecting_links(_components(rest, comps), nodes, threshold), "links")
     if not more.isEmpty():
         comps = stars(comps.unionByName(more))
 
