@@ -1,8 +1,8 @@
 """Secret scans through an inverted index of trigrams.
 
 Each rule's pattern is turned into alternatives of trigrams that any match must contain. The index
-lists, for those trigrams, the texts they occur in; a rule's candidates are the texts in all lists
-of one alternative. Only candidates meet the pattern itself. A rule without mandatory trigrams,
+lists, for the rarest of those trigrams, the texts they occur in; a rule's candidates are the texts
+in all lists of one alternative. Only candidates meet the pattern itself. A rule without mandatory trigrams,
 such as a run of hexadecimal digits, is matched against every text. All of it is built-in
 expressions.
 """
@@ -22,6 +22,7 @@ from reviewloom.llm.text import shelve
 
 MOST_WAYS = 256  # alternatives a pattern may unfold into before parts of it count as gaps
 WIDEST_CLASS = 8  # characters of a class that are unfolded
+MOST_GRAMS = 3  # trigrams of an alternative that are looked up
 GAP = None
 
 
@@ -42,11 +43,65 @@ BASE = [
     Rule("access", "AKIA[A-Z0-9]+", 18),
     Rule("hex", "[0-9a-f]{16,}", 16),  # runs of 16 or more are what is left of all runs
 ]
+# Public forms of tokens, by who issues them.
+VENDORS = {
+    "age": "AGE-SECRET-KEY-1[A-Z0-9]{58}",
+    "app platform": "do[opr]_v1_[a-f0-9]{64}",
+    "atlassian": "ATATT3[A-Za-z0-9_=-]{50,}",
+    "aws session": "ASIA[A-Z0-9]{16}",
+    "bot api": "[0-9]{8,10}:AA[A-Za-z0-9_-]{33}",
+    "contentful": "CFPAT-[A-Za-z0-9_-]{43}",
+    "databricks": "dapi[0-9a-f]{32}",
+    "docker": "dckr_pat_[A-Za-z0-9_-]{20,}",
+    "doppler": r"dp\.pt\.[A-Za-z0-9]{40,}",
+    "dynatrace": r"dt0c01\.[A-Z0-9]{24}\.[A-Z0-9]{64}",
+    "easypost": "EZAK[A-Za-z0-9]{54}",
+    "figma": "figd_[A-Za-z0-9_-]{40,}",
+    "fly": "fo1_[A-Za-z0-9_-]{43}",
+    "frame.io": "fio-u-[A-Za-z0-9_=-]{64}",
+    "github fine-grained": "github_pat_[A-Za-z0-9_]{22,}",
+    "gitlab": "glpat-[A-Za-z0-9_-]{20,}",
+    "gitlab runner": "glrt-[A-Za-z0-9_-]{20,}",
+    "google api": "AIza[A-Za-z0-9_-]{35,}",
+    "google oauth": r"ya29\.[A-Za-z0-9_-]{20,}",
+    "grafana": "glsa_[A-Za-z0-9_]{32,}",
+    "grafana cloud": "glc_[A-Za-z0-9+/=]{32,}",
+    "hugging face": "hf_[A-Za-z0-9]{30,}",
+    "linear": "lin_api_[A-Za-z0-9]{32,}",
+    "mailgun": "key-[0-9a-f]{32}",
+    "mapbox": r"sk\.eyJ[A-Za-z0-9_-]{20,}\.[A-Za-z0-9_-]{20,}",
+    "new relic": "NRAK-[A-Z0-9]{27}",
+    "npm": "npm_[A-Za-z0-9]{36,}",
+    "openai": "sk-proj-[A-Za-z0-9_-]{20,}",
+    "planetscale": "pscale_tkn_[A-Za-z0-9_.=-]{32,}",
+    "postman": "PMAK-[a-f0-9]{24}-[a-f0-9]{34}",
+    "prefect": "pnu_[a-z0-9]{36}",
+    "pulumi": "pul-[a-f0-9]{40}",
+    "pypi": "pypi-[A-Za-z0-9_-]{50,}",
+    "readme": "rdme_[a-z0-9]{70}",
+    "rubygems": "rubygems_[a-f0-9]{48}",
+    "sendgrid": r"SG\.[A-Za-z0-9_-]{16,}\.[A-Za-z0-9_-]{16,}",
+    "sentry": "sntrys_[A-Za-z0-9+/=_-]{40,}",
+    "shippo": "shippo_live_[a-f0-9]{40}",
+    "shopify": "shp(?:at|ca|pa|ss)_[A-Fa-f0-9]{32}",
+    "slack webhook": r"hooks\.slack\.com/services/[A-Za-z0-9/]{20,}",
+    "square": "sq0(?:atp|csp)-[A-Za-z0-9_-]{22,}",
+    "stripe": "[rs]k_live_[A-Za-z0-9]{16,}",
+    "supabase": "sbp_[a-f0-9]{40}",
+    "terraform": r"\.atlasv1\.[A-Za-z0-9_=-]{60,}",
+    "typeform": "tfp_[A-Za-z0-9_-]{44,}",
+    "vault": r"hvs\.[A-Za-z0-9_-]{24,}",
+}
+# A key block goes to its END line, over at most 16 dashes of header fields in between; without
+# an END line it goes as far as base64 lines do.
+KEY_BLOCK = ("-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[^-]*(?:-{1,4}[^-]+){0,16}"
+             r"-----END [A-Z ]*PRIVATE KEY-----|[A-Za-z0-9+/=\x0A\x0D]*)")
 EXTRA = [
     Rule("hosting", "gh[oprsu]_[A-Za-z0-9]+", 40),
     Rule("chat", "xox[abprs]-[A-Za-z0-9-]+", 15),
-    Rule("private_key", "-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("private_key", KEY_BLOCK),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+", 24),
+    Rule("vendor", "|".join(VENDORS.values())),
 ]
 
 
@@ -95,6 +150,12 @@ def trigram_query(pattern: str) -> list[frozenset[str]] | None:
     return sorted((a for a in found if not any(b < a for b in found)), key=sorted)
 
 
+def rarest(grams: frozenset[str], most: int = MOST_GRAMS) -> list[str]:
+    """The trigrams of an alternative that are looked up: those with fewest letters. All of them are
+    mandatory, so fewer only make more candidates, but frequent ones fill the index for nothing."""
+    return sorted(grams, key=lambda g: (sum(map(str.isalpha, g)), g))[:most]
+
+
 def postings(docs: DataFrame, trigrams: Sequence[str]) -> DataFrame:
     """The inverted index, limited to the given trigrams: ``trigram``, ``_key`` (hash of a text).
     Copies of a text share an entry. Two texts of one hash would share theirs too, which can only
@@ -108,8 +169,8 @@ def postings(docs: DataFrame, trigrams: Sequence[str]) -> DataFrame:
 
 def candidates(docs: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """``_key`` and ``_rules``, the places of the rules whose pattern the text has to meet."""
-    needs = [(k, n, t, len(alt)) for k, rule in enumerate(rules)
-             for n, alt in enumerate(trigram_query(rule.pattern) or ()) for t in sorted(alt)]
+    needs = [(k, n, t, min(len(alt), MOST_GRAMS)) for k, rule in enumerate(rules)
+             for n, alt in enumerate(trigram_query(rule.pattern) or ()) for t in rarest(alt)]
     if not needs:
         return docs.sparkSession.createDataFrame([], "_key long, _rules array<int>")
     query = docs.sparkSession.createDataFrame(needs, "rule int, way int, trigram string, size int")
