@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from reviewloom.functions.columns import (
     lower_without_urls,
     mentions,
+    ngrams,
     run_grams,
     word_runs,
     word_tokens,
@@ -60,6 +61,19 @@ def doc_freq(counts: DataFrame) -> DataFrame:
     )
 
 
+def corpus_freq(df: DataFrame, text: str = "review_text", ngram_max: int = NGRAM_MAX) -> DataFrame:
+    """``(term, df, total)`` straight from texts, without counting per document first.
+
+    A text gives its terms twice: all of them, and each once. Both are added up per term in the
+    tasks that read the texts, so what is shuffled are terms with partial counts, never a text.
+    """
+    tokens = word_tokens(lower_without_urls(F.coalesce(F.col(text), F.lit(""))))
+    twice = F.transform(F.array(ngrams(tokens, ngram_max)), lambda t: F.array(t, F.array_distinct(t)))
+    lists = df.select(F.posexplode(F.get(twice, F.lit(0))).alias("_once", "_terms"))
+    return lists.select("_once", F.explode("_terms").alias("term")).groupBy("term").agg(
+        F.sum("_once").alias("df"), F.count(F.when(F.col("_once") == 0, 1)).alias("total"))
+
+
 def prune(freq: DataFrame, n_docs: Column, min_df: int = MIN_DF, max_df: float = MAX_DF):
     """Terms in at least ``min_df`` documents and at most the share ``max_df`` of them."""
     return freq.filter((F.col("df") >= min_df) & (F.col("df") <= n_docs * F.lit(max_df)))
@@ -88,7 +102,7 @@ def fit_vocab(
 ) -> DataFrame:
     """Vocabulary of the training rows."""
     n_docs = train.agg(F.count(F.lit(1)).alias("n")).scalar()
-    freq = doc_freq(term_counts(train, text, ngram_max))
+    freq = corpus_freq(train, text, ngram_max)
     return index_vocab(limit_vocab(prune(freq, n_docs, min_df, max_df), max_features), n_docs)
 
 

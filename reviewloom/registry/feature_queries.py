@@ -84,7 +84,7 @@ TRIGRAM_SQL = f"""SELECT review_id, len(g) AS n, md5(array_to_string(g, '|')) AS
 
 
 def frequencies(spark, sf):
-    return T.doc_freq(T.term_counts(train_rows(spark, sf)))
+    return T.corpus_freq(train_rows(spark, sf))
 
 
 def counts(spark, sf):
@@ -96,7 +96,7 @@ def counts(spark, sf):
 
 def pruned(spark, sf):
     train = train_rows(spark, sf)
-    return T.prune(T.doc_freq(T.term_counts(train)), rows_of(train))
+    return T.prune(T.corpus_freq(train), rows_of(train))
 
 
 def limited(spark, sf):

@@ -200,3 +200,15 @@ def test_a_null_class_is_lifted_as_well(spark):
         "sentiment", F.when(F.col("sentiment") == "a", F.col("sentiment")))
     got = oversample(df, "sentiment", "id")
     assert {r[0]: r[1] for r in got.groupBy("sentiment").count().collect()} == {"a": 6, None: 6}
+
+
+def test_frequencies_without_moving_texts(spark):
+    docs = spark.createDataFrame(
+        [("a", "Good app, good APP good"), ("b", "good"), ("c", None), ("d", ""), ("e", "x y zz zz"),
+         ("f", "very long " * 20_000)], "sample_id string, review_text string")
+    for n in (1, 2, 3):
+        one, other = T.corpus_freq(docs, ngram_max=n), T.doc_freq(T.term_counts(docs, ngram_max=n))
+        assert rows(one.select("term", "df", "total")) == rows(other.select("term", "df", "total"))
+    plan = T.corpus_freq(docs)._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.split("\n") if "Exchange" in line]
+    assert len(moved) == 1 and "hashpartitioning(term" in moved[0]
