@@ -15,7 +15,6 @@ from reviewloom.operators.order_stats import (
     running_counts,
     value_counts,
 )
-from reviewloom.operators.tables import literal_rows
 
 STARS = (1, 2, 3, 4, 5)
 ALPHA = 0.05
@@ -103,14 +102,8 @@ def kruskal(df: DataFrame, by: str, col: str, groups: Sequence = STARS) -> DataF
 
 
 def with_correlation_p(result: DataFrame) -> DataFrame:
-    """The one row of a correlation result with its two-sided p. The row comes to the driver for
-    the scalar maths and is not computed again."""
-    row = result.first()
-    p = correlation_p(row["statistic"], row["n"])
-    known = literal_rows(result.sparkSession, [(*row, p)], [*result.columns, "p_value"])
-    return known.select(
-        *[F.col(c).cast(t).alias(c) for c, t in [*result.dtypes, ("p_value", "double")]]
-    )
+    """A correlation result with its two-sided p."""
+    return result.withColumn("p_value", correlation_p(F.col("statistic"), F.col("n")))
 
 
 def pearson_test(df: DataFrame, x: str = "review_length", y: str = "word_count") -> DataFrame:

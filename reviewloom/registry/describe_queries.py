@@ -158,6 +158,42 @@ SELECT test, round(h, 6), {P_TEXT}, {CONCLUDE}
 FROM (SELECT 'kruskal_length_by_star' AS test, h, exp(-h / 2) * (1 + h / 2) AS p FROM kw)"""
 
 
+PEARSON_SQL = f""", rs AS (
+  SELECT 'one' AS test, count(*)::DOUBLE AS n, corr(review_length, word_count) AS r FROM rv)
+{T_TAIL}
+SELECT CAST(n AS BIGINT) AS n, round(r, 6) AS statistic, round(p, 6) AS p_value
+FROM rs JOIN pv USING (test)"""
+
+SPEARMAN_SQL = f"""{RANK_CTES},
+rs AS (SELECT 'one' AS test, count(*)::DOUBLE AS n, corr(rx, ry) AS r FROM rk)
+{T_TAIL}
+SELECT CAST(n AS BIGINT) AS n, (SELECT count(*) FROM rv WHERE star_rating IS NULL) AS dropped,
+  round(r, 6) AS statistic, round(p, 6) AS p_value
+FROM rs JOIN pv USING (test)"""
+
+PARTS_SQL = f""", ranked AS (
+  SELECT lang, rank() OVER (PARTITION BY lang ORDER BY star_rating)
+    + (count(*) OVER (PARTITION BY lang, star_rating) - 1) / 2.0::DOUBLE AS rx,
+    rank() OVER (PARTITION BY lang ORDER BY word_count)
+    + (count(*) OVER (PARTITION BY lang, word_count) - 1) / 2.0::DOUBLE AS ry
+  FROM rv WHERE star_rating IS NOT NULL),
+rs AS (
+  SELECT lang AS test, count(*)::DOUBLE AS n, corr(rx, ry) AS r FROM ranked GROUP BY lang)
+{T_TAIL}
+SELECT test AS lang, CAST(n AS BIGINT) AS n, round(r, 6) AS statistic, round(p, 6) AS p_value
+FROM rs JOIN pv USING (test)"""
+
+
+def tested_parts(spark, sf):
+    """The rank test within each language: few rows, so p is far from 0."""
+    reviews, out = V.reviews(spark, sf), None
+    for lang in ("de", "en", "es", "fr"):
+        one = H.spearman_test(reviews.filter(F.col("lang") == lang), "star_rating", "word_count")
+        one = one.select(F.lit(lang).alias("lang"), "n", "statistic", "p_value")
+        out = one if out is None else out.unionAll(one)
+    return r6(out)
+
+
 def ranks(spark, sf):
     counts = value_counts(V.reviews(spark, sf), "review_length")
     return r6(average_ranks(counts).select("value", "n", "rank"))
@@ -237,8 +273,8 @@ HASH = "CAST('0x' || md5({0})[1:15] AS BIGINT)"
 
 def sampled(spark, sf):
     """A sampling operator: its size is the feature."""
-    return sample_n(V.reviews(spark, sf), 3000, 42, "review_id").select(
-        "review_id", "word_count", "review_length", "sentiment"
+    return sample_n(V.chats(spark, sf), 300, 42, "sample_id").select(
+        "sample_id", "username", "word_count", "review_length"
     )
 
 
@@ -299,12 +335,9 @@ FROM rv GROUP BY 1""")),
     "ols_line": (on_reviews(D.ols_line, "word_count", "review_length"),
                  R("").rstrip() + LINE_SQL),
     "corr_matrix": (on_reviews(D.corr_matrix), R(CORR_SQL)),
-    "pearson_test": (on_reviews(H.pearson, "review_length", "word_count"), R(
-        "SELECT count(*) AS n, round(corr(review_length, word_count), 6) AS statistic FROM rv")),
-    "spearman_test": (on_reviews(H.spearman, "star_rating", "review_length"), R(
-        "").rstrip() + RANK_CTES + """
-SELECT count(*) AS n, (SELECT count(*) FROM rv WHERE star_rating IS NULL) AS dropped,
-  round(corr(rx, ry), 6) AS statistic FROM rk"""),
+    "pearson_test": (on_reviews(H.pearson_test), R("").rstrip() + PEARSON_SQL),
+    "spearman_test": (on_reviews(H.spearman_test), R("").rstrip() + SPEARMAN_SQL),
+    "spearman_test_of_parts": (tested_parts, R("").rstrip() + PARTS_SQL),
     "kruskal_test": (on_reviews(H.kruskal, "star_rating", "review_length"), R(
         "").rstrip() + RANK_CTES + """
 SELECT CAST(n AS BIGINT) AS n, round(h, 6) AS statistic,
@@ -344,7 +377,7 @@ LEFT JOIN rv USING (sentiment) GROUP BY 1""")),
     "quality_checklist": (on_reviews(D.quality_checklist), R("").rstrip() + CHECKLIST_SQL),
     "quality_gates": (gates, R("").rstrip() + GATES_SQL),
     "length_by_sentiment": (on_reviews(D.length_by_sentiment), R(LENGTHS_SQL)),
-    "sample_n": (sampled, R(
-        f"""SELECT review_id, word_count, review_length, sentiment FROM rv
-ORDER BY {HASH.format("'42|' || review_id")}, review_id LIMIT 3000""")),
+    "sample_n": (sampled, V.with_chats(
+        f"""SELECT sample_id, username, word_count, review_length FROM ch
+ORDER BY {HASH.format("'42|' || sample_id")}, sample_id LIMIT 300""")),
 }

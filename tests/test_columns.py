@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from reviewloom.functions import columns as C
 from reviewloom.functions.language import SAMPLES, detect_language, fit
-from reviewloom.functions.tails import correlation_p, incomplete_beta
+from reviewloom.functions.tails import correlation_p, incomplete_beta, log_gamma
 from reviewloom.operators.cleaning import keep_language
 
 
@@ -131,10 +131,19 @@ def test_language_of_own_samples(spark):
     assert max(map(sum, zip(*fit(SAMPLES).values()))) < 2**15
 
 
-def test_tails():
-    assert incomplete_beta(2, 3, 0.4) == pytest.approx(0.5248, abs=1e-12)
+def test_tails(spark):
+    def value(make, **args):
+        row = spark.range(1).select(*[F.lit(v).cast("double").alias(k) for k, v in args.items()])
+        return row.select(make(*[F.col(k) for k in args]).alias("p")).first()["p"]
+
+    for z in (0.5, 1, 1.5, 7, 123.25, 1e6):
+        assert value(log_gamma, z=z) == pytest.approx(math.lgamma(z), rel=1e-12, abs=1e-12)
+    assert value(incomplete_beta, a=2, b=3, x=0.4) == pytest.approx(0.5248, abs=1e-12)
+    assert value(incomplete_beta, a=2, b=3, x=0) == 0 and value(incomplete_beta, a=2, b=3, x=1) == 1
     # published critical values of r: p = 0.05 at n = 10 and n = 32
-    assert correlation_p(0.6319, 10) == pytest.approx(0.05, abs=1e-4)
-    assert correlation_p(-0.3494, 32) == pytest.approx(0.05, abs=1e-4)
-    assert correlation_p(0.5, 10) == pytest.approx(0.1411, abs=1e-4)
-    assert correlation_p(1.0, 5) == 0 and correlation_p(None, 5) is None
+    assert value(correlation_p, r=0.6319, n=10) == pytest.approx(0.05, abs=1e-4)
+    assert value(correlation_p, r=-0.3494, n=32) == pytest.approx(0.05, abs=1e-4)
+    assert value(correlation_p, r=0.5, n=10) == pytest.approx(0.1411, abs=1e-4)
+    assert value(correlation_p, r=1.0, n=5) == 0 and value(correlation_p, r=None, n=5) is None
+    assert value(correlation_p, r=0.3, n=2) is None and value(correlation_p, r=0.0, n=9) == 1
+    assert value(correlation_p, r=0.01, n=1_000_000) == pytest.approx(1.52e-23, rel=0.01)
