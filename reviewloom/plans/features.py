@@ -9,9 +9,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from reviewloom.functions.columns import share
+from reviewloom.operators.audit import fingerprint
 from reviewloom.operators.meta_features import apply_scaler, fit_scaler, metadata
 from reviewloom.operators.text_features import (
     MAX_FEATURES,
+    NEGATIONS,
     NGRAM_MAX,
     aspects,
     check_fit,
@@ -78,6 +80,39 @@ def alignment(families: Mapping[str, DataFrame]) -> DataFrame:
     return out.withColumn("aligned", (F.col("unmatched") == 0).cast("int"))
 
 
+def same_keys(families: Mapping[str, DataFrame]) -> DataFrame:
+    """``(family, split, n_labels, n_family, aligned)``: whether a family has just the samples of
+    the labels, by fingerprints of the keys, which need no join of the families.
+
+    TF-IDF has no row for a sample without known terms and several for one with many, so its
+    distinct keys are compared with those labels that it has.
+    """
+    def prints(df: DataFrame, name: str) -> DataFrame:
+        keys = fingerprint(df, ["sample_id"], by=["split"])
+        return keys.select("split", *[F.col(c).alias(f"{name}_{c}") for c in keys.columns[1:]])
+
+    label_keys = families["labels"].select("sample_id", "split")
+    base, out = prints(label_keys, "l"), None
+    for name, df in families.items():
+        if name == "labels":
+            continue
+        own = df.select("sample_id", "split")
+        mine, wanted = own, base
+        if name == "tfidf":
+            mine = own.distinct()
+            wanted = prints(label_keys.join(mine, "sample_id", "left_semi"), "l")
+        met = wanted.join(prints(mine, "f"), "split", "full_outer")
+        equal = F.lit(True)
+        for c in ("rows", "xor_hash", "sum_hash"):
+            equal = equal & F.col(f"l_{c}").eqNullSafe(F.col(f"f_{c}"))
+        one = met.select(
+            F.lit(name).alias("family"), "split",
+            F.coalesce("l_rows", F.lit(0)).alias("n_labels"),
+            F.coalesce("f_rows", F.lit(0)).alias("n_family"), equal.cast("int").alias("aligned"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def split_distribution(df: DataFrame) -> DataFrame:
     """Class shares per split to one decimal."""
     counts = df.groupBy("split", "sentiment").agg(F.count(F.lit(1)).alias("n"))
@@ -135,6 +170,7 @@ def build_features(
     ngram_max: int = NGRAM_MAX,
     drop_label_proxy: bool = False,
     dry_run: bool = False,
+    negations: Sequence[str] = NEGATIONS,
 ) -> DataFrame:
     """Read the splits, fit on train, write every family and the fitted tables, and return the
     report. Without a lexicon polarity is 0.0; without a dictionary there are no aspects."""
@@ -157,7 +193,8 @@ def build_features(
     families = apply_model(splits, model, ngram_max, SPLIT)
     families["meta"] = apply_scaler(raw_meta, model["scaler"])
     families["lexicon"] = (
-        lexicon_sentiment(splits, lexicon, keep=SPLIT) if lexicon is not None
+        lexicon_sentiment(splits, lexicon, keep=SPLIT, negations=negations)
+        if lexicon is not None
         else no_sentiment(splits, keep=SPLIT)
     )
     if dictionary:

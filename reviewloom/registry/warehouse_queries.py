@@ -137,6 +137,30 @@ OUTCOME_SQL = """SELECT count(*) AS rows_in_file,
 FROM typed"""
 
 
+def after_a_first_load(spark, sf):
+    """The ids that a load of the googleplay rows stores, and the apple rows after it."""
+    rows = V.load_rows(spark, sf)
+    google = F.col("platform_key") == "googleplay"
+    stored = W.normalise_row(W.validate(rows.filter(google))).filter("reject_reason IS NULL")
+    return stored.select("review_id").distinct(), rows.filter(~google)
+
+
+_SECOND = """FROM (SELECT *, review_id IN (
+    SELECT review_id FROM valid WHERE platform_key = 'googleplay') AS known
+  FROM typed WHERE platform_key = 'apple')"""
+SECOND_SQL = f"""SELECT count(*) AS rows_in_file,
+  count(DISTINCT review_id) FILTER (reject_reason IS NULL AND NOT known) AS rows_inserted,
+  count(*) FILTER (reject_reason IS NULL)
+    - count(DISTINCT review_id) FILTER (reject_reason IS NULL AND NOT known) AS rows_skipped,
+  count(*) FILTER (reject_reason IS NOT NULL) AS rows_rejected,
+  count(*) FILTER (reject_reason = 'no_id') AS empty_id,
+  count(*) FILTER (reject_reason = 'no_text') AS empty_text,
+  count(*) FILTER (reject_reason = 'bad_star') AS bad_star
+{_SECOND}"""
+SECOND_DRY_SQL = f"""SELECT rows_in_file, rows_in_file - rows_rejected AS rows_valid, rows_rejected,
+  rows_skipped AS projected_duplicates FROM ({SECOND_SQL})"""
+
+
 def dry(spark, sf):
     none = spark.createDataFrame([], WAREHOUSE["reviews"])
     return W.dry_run(none, V.load_rows(spark, sf))
@@ -267,6 +291,41 @@ def rules_hold(wh):
     return out
 
 
+def broken(wh):
+    """The warehouse with faults that follow from its rows: reviews of one star come twice, the
+    second time with nine; anonymous users are missing; neutral labels are of an unknown kind; the
+    loads of apple rows have an unknown state."""
+    nine = wh["reviews"].filter("star_rating = 1").withColumn("star_rating", F.lit(9))
+    kind = F.when(F.col("sentiment") == "neutral", "mixed").otherwise(F.col("sentiment"))
+    state = F.when(F.col("platform_key") == "apple", "lost").otherwise(F.col("status"))
+    return {
+        **wh,
+        "reviews": wh["reviews"].unionByName(nine),
+        "users": wh["users"].filter("username <> 'anonymous'"),
+        "sentiment_labels": wh["sentiment_labels"].withColumn("sentiment", kind),
+        "ingestion_runs": wh["ingestion_runs"].withColumn("status", state),
+    }
+
+
+def faults(wh):
+    """All audits of the broken warehouse, those that find something."""
+    bad = broken(wh)
+    unique = unique_audit(bad).select(
+        F.concat(F.lit("unique "), F.col("metric")).alias("audit"), F.col("violations").alias("n"))
+    orphans = fk_audit(bad).select(F.concat(F.lit("orphans "), F.col("metric")), "orphans")
+    rules = rules_hold(bad).select("rule", "violations")
+    return unique.unionAll(orphans).unionAll(rules).filter("n > 0")
+
+
+FAULTS_SQL = """SELECT 'unique reviews' AS audit, count(*) AS n FROM stored WHERE star_rating = 1
+UNION ALL SELECT 'reviews: star_rating in 1..5', count(*) FROM stored WHERE star_rating = 1
+UNION ALL SELECT 'orphans reviews.user_fk', count(DISTINCT platform_key) FROM stored
+  WHERE username = 'anonymous'
+UNION ALL SELECT 'sentiment_labels: sentiment allowed', count(*) FROM labelled
+  WHERE sentiment = 'neutral'
+UNION ALL SELECT 'ingestion_runs: status allowed', 1"""
+
+
 def zero_sql(names: list[str], key: str, value: str) -> str:
     return f"SELECT unnest({names!r}) AS {key}, 0::BIGINT AS {value}"
 
@@ -309,6 +368,10 @@ QUERIES = {
     ).replace("0::BIGINT", "1")),
     "load_outcome": (outcome, L(OUTCOME_SQL)),
     "load_dry_run": (dry, L(DRY_SQL)),
+    "load_outcome_again": (
+        lambda s, d: W.load_outcome(*after_a_first_load(s, d)), L(SECOND_SQL)),
+    "load_dry_run_again": (lambda s, d: W.dry_run(*after_a_first_load(s, d)), L(SECOND_DRY_SQL)),
+    "planted_faults": (on_warehouse(faults), L(FAULTS_SQL)),
     "ingestion_runs": (on_warehouse(runs), L(RUNS_SQL)),
     "ingest": (full_load, L(TOTALS_SQL)),
     "ingest_twice": (second_load, L(
