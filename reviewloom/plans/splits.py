@@ -46,7 +46,11 @@ def make_splits(
 ) -> DataFrame:
     """Labelled reviews with ``split``, ``copy_no``, ``sample_id``. Balancing happens within each
     split, so no row crosses a time boundary."""
-    cut = time_split(labelled, train, val, test, boundary=boundary)
+    return balance(time_split(labelled, train, val, test, boundary=boundary), stratified, seed)
+
+
+def balance(cut: DataFrame, stratified: bool = True, seed: int = 42) -> DataFrame:
+    """Rows of a cut with ``copy_no`` and ``sample_id``, classes lifted within each split."""
     if stratified:
         out = oversample(cut, "sentiment", "id", split_seed(seed), by=["split"])
     else:
@@ -158,7 +162,7 @@ def split_dataset(
     if labelled.isEmpty():
         raise ValueError("no labelled reviews match the filters")
     cut = time_split(labelled, train, val, test, boundary=boundary)
-    balanced = make_splits(labelled, train, val, test, stratified, seed, boundary)
+    balanced = balance(cut, stratified, seed)  # the boundaries are looked for once
     if dry_run:
         return split_summary(cut, balanced)
     write_splits(shuffled(balanced, seed), out_dir)

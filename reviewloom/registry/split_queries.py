@@ -102,8 +102,8 @@ def shuffle_keys(spark, sf):
 
 
 def summary(spark, sf):
-    df = V.reviews(spark, sf)
-    return r6(S.split_summary(time_split(df), S.make_splits(df)))
+    rows = time_split(V.reviews(spark, sf))
+    return r6(S.split_summary(rows, S.balance(rows)))
 
 
 SUMMARY_SQL = """, rw AS (

@@ -163,8 +163,10 @@ def labelled(spark):
 def test_split_and_feature_jobs(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(S, "load_labelled", lambda *_: labelled(spark))
     monkeypatch.setattr(S, "read_warehouse", lambda *_: {})
-    out = str(tmp_path / "splits")
+    out, cuts, cut = str(tmp_path / "splits"), [], S.time_split
+    monkeypatch.setattr(S, "time_split", lambda *a, **k: cuts.append(1) or cut(*a, **k))
     row = S.split_dataset(spark, str(tmp_path), out).first()
+    assert len(cuts) == 1
     assert (row["n_total"], row["id"], row["stratified"]) == (200, 1, 1)
     written = spark.read.parquet(out)
     assert "id" not in written.columns and "label_method" not in written.columns
