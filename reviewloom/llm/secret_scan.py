@@ -136,12 +136,12 @@ def _ways(parsed) -> list[tuple]:
     return ways
 
 
-def trigram_query(pattern: str) -> list[frozenset[str]] | None:
-    """Alternatives of lower-case trigrams, one of which every match contains in full; None if a
-    match may do without any."""
+def trigram_query(pattern: str, fold: bool = True) -> list[frozenset[str]] | None:
+    """Alternatives of trigrams, one of which every match contains in full; None if a match may do
+    without any. Folded ones are in lower case; others hold for patterns that tell cases apart."""
     found = set()
     for way in _ways(re._parser.parse(pattern)):
-        runs = "".join("\0" if c is GAP else c.lower() for c in way).split("\0")
+        runs = "".join("\0" if c is GAP else c.lower() if fold else c for c in way).split("\0")
         grams = frozenset(r[i:i + 3] for r in runs for i in range(len(r) - 2))
         if not grams:
             return None
@@ -151,30 +151,41 @@ def trigram_query(pattern: str) -> list[frozenset[str]] | None:
 
 
 def rarest(grams: frozenset[str], most: int = MOST_GRAMS) -> list[str]:
-    """The trigrams of an alternative that are looked up: those with fewest letters. All of them are
-    mandatory, so fewer only make more candidates, but frequent ones fill the index for nothing."""
-    return sorted(grams, key=lambda g: (sum(map(str.isalpha, g)), g))[:most]
+    """The trigrams of an alternative that are looked up: those with fewest small letters. All of them
+    are mandatory, so fewer only make more candidates, but frequent ones fill the index for nothing."""
+    return sorted(grams, key=lambda g: (sum(map(str.islower, g)), g))[:most]
 
 
-def postings(docs: DataFrame, trigrams: Sequence[str]) -> DataFrame:
+def postings(docs: DataFrame, folded: Sequence[str], exact: Sequence[str]) -> DataFrame:
     """The inverted index, limited to the given trigrams: ``trigram``, ``_key`` (hash of a text).
-    Copies of a text share an entry. Two texts of one hash would share theirs too, which can only
-    make more candidates."""
-    low = docs.filter("text is not null").select(
-        F.xxhash64("text").alias("_key"), F.lower("text").alias("_low"))
-    listed = F.array(*[F.lit(t) for t in trigrams])
-    return low.select("_key", F.explode(
-        F.filter(listed, lambda t: F.contains(F.col("_low"), t))).alias("trigram")).distinct()
+    Folded trigrams are looked up in the lower-cased text; exact ones, listed with a leading ``=``,
+    in the text as it is. Copies of a text share an entry. Two texts of one hash would share theirs
+    too, which can only make more candidates."""
+    texts = docs.filter("text is not null").select(
+        F.xxhash64("text").alias("_key"), F.lower("text").alias("_low"), "text")
+
+    def met(trigrams: Sequence[str], text: str) -> Column:
+        listed = F.array(*[F.lit(t) for t in trigrams]).cast("array<string>")
+        return F.filter(listed, lambda t: F.contains(F.col(text), t))
+
+    found = F.concat(met(folded, "_low"),
+                     F.transform(met(exact, "text"), lambda t: F.concat(F.lit("="), t)))
+    return texts.select("_key", F.explode(found).alias("trigram")).distinct()
 
 
 def candidates(docs: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """``_key`` and ``_rules``, the places of the rules whose pattern the text has to meet."""
-    needs = [(k, n, t, min(len(alt), MOST_GRAMS)) for k, rule in enumerate(rules)
-             for n, alt in enumerate(trigram_query(rule.pattern) or ()) for t in rarest(alt)]
+    needs, folded, exact = [], set(), set()
+    for k, rule in enumerate(rules):
+        fold = "(?i" in rule.pattern
+        for n, alt in enumerate(trigram_query(rule.pattern, fold) or ()):
+            chosen = rarest(alt)
+            (folded if fold else exact).update(chosen)
+            needs += [(k, n, t if fold else f"={t}", len(chosen)) for t in chosen]
     if not needs:
         return docs.sparkSession.createDataFrame([], "_key long, _rules array<int>")
     query = docs.sparkSession.createDataFrame(needs, "rule int, way int, trigram string, size int")
-    index = postings(docs, sorted({t for _, _, t, _ in needs}))
+    index = postings(docs, sorted(folded), sorted(exact))
     met = index.join(F.broadcast(query), "trigram").groupBy("_key", "rule", "way", "size").count()
     return met.filter("count = size").groupBy("_key").agg(
         F.collect_set("rule").alias("_rules"))
@@ -219,7 +230,8 @@ def secret_spans(docs: DataFrame, rules: Sequence[Rule] = (*BASE, *EXTRA)) -> Da
     for place, (rule, query) in enumerate(zip(rules, queries, strict=True)):
         wanted = text.rlike(rule.pattern)
         if query is not None:
-            wanted = F.array_contains("_rules", place) & wanted
+            # without the default a text in no list would be null here and still be matched
+            wanted = F.coalesce(F.array_contains("_rules", place), F.lit(False)) & wanted
         for group in {0, rule.group}:
             matched[f"_m{place}_{group}"] = F.when(
                 wanted, F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(group)))
