@@ -20,6 +20,7 @@ from reviewloom.functions.language import UNDETERMINED, detect_language
 from reviewloom.operators.order_stats import first_per_key
 from reviewloom.schemas import MIN_CHARS
 
+# Step names of the audit, which its results are compared by.
 STEPS = ["missing_date", "null_empty_review", "too_short", "non_english", "duplicate_id"]
 
 
