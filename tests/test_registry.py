@@ -39,3 +39,10 @@ def test_reviews_are_read_from_files_of_all_rows(spark, name):
     ok, text = compare(connect(SF), spark, SF, name, entry.queries()[name],
                        entry.oracle_sql()[name])
     assert ok, text
+
+
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.1"), reason="test tables not there")
+def test_sample_is_of_three_thousand_reviews(spark):
+    df = entry.queries()["sample_n"](spark, "/root/testdata/sf0.1")
+    assert "review_id" in df.columns and df.count() == 3000
+    assert "rv" in entry.oracle_sql()["sample_n"] and "LIMIT 3000" in entry.oracle_sql()["sample_n"]
