@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewloom.llm.text import shelve, words
+from reviewloom.llm.text import shelve, stored, words
 
 BUCKETS = 10_000
 SMOOTHING = 1.0
@@ -21,7 +21,6 @@ THRESHOLD = -0.15  # nats per n-gram; only where no trusted document passes the
 FOLDS = 5  # of the trusted documents, by hash of the id
 LOW = 0.01  # quantile of the trusted documents' scores
 MARGIN = 0.5  # of the way from their median to that quantile, further down
-TRUSTED_ROWS = 20_000  # most labelled documents that the target is fitted on
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEATED = 30  # percent
@@ -31,11 +30,10 @@ NEW = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "s
        "base_failed", "kept"]
 
 
-def trusted_ids(labels: DataFrame, most: int = TRUSTED_ROWS) -> DataFrame:
-    """Ids of documents labelled good and not toxic, ``most`` of them at most, chosen by hash."""
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """Ids of all documents labelled good and not toxic, each once."""
     good = (F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0)
-    ids = labels.filter(good & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    return ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    return labels.filter(good & F.col("doc_id").isNotNull()).select("doc_id").distinct()
 
 
 def pair_hashes(hashes: Column, apart: int = 1) -> Column:
@@ -57,10 +55,10 @@ def bucket_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -
     """One row: the log ``ratios`` of every bucket, and ``folds``, for each fold the ratios without
     its trusted documents. Zeros where no trusted document with a word is left.
 
-    ``trusted`` is broadcast: it has at most the rows ``trusted_ids`` was told.
+    How ``trusted`` is joined is the planner's choice: give it a stored table, whose size is known.
     """
     marked = docs.select("doc_id", "text").join(
-        F.broadcast(trusted.withColumn("_fold", fold_of(F.col("doc_id")))), "doc_id", "left")
+        trusted.withColumn("_fold", fold_of(F.col("doc_id"))), "doc_id", "left")
     hashed = marked.select("_fold", F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("_h"))
     grams = hashed.select("_fold", F.explode(F.concat("_h", pair_hashes(F.col("_h")))).alias("_g"))
     good = [f"good{k}" for k in range(FOLDS)]
@@ -152,7 +150,7 @@ def fitted_threshold(
     rules. Trusted documents are scored by ``folds``, the ratios without their own fold: by the
     full ratios they lie above any document that was not fitted on, the more so the fewer they are.
     """
-    rows = docs.select("doc_id", "text").join(F.broadcast(trusted), "doc_id")
+    rows = docs.select("doc_id", "text").join(trusted, "doc_id")
     own = scored(rows, F.get(folds, fold_of(F.col("doc_id"))), buckets).select(
         F.when(~F.col("base_failed"), F.col("score")).alias("score"))
     at = own.agg(F.percentile("score", F.array(F.lit(LOW), F.lit(0.5))).alias("_at"))
@@ -163,7 +161,6 @@ def fitted_threshold(
 
 def quality_rules(
     docs: DataFrame, labels: DataFrame, *, buckets: int = BUCKETS, threshold: float | None = None,
-    trusted_rows: int = TRUSTED_ROWS,
 ) -> DataFrame:
     """``docs`` with ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``,
     ``n_repeat_words``, ``score``, ``base_failed`` and ``kept``.
@@ -173,9 +170,12 @@ def quality_rules(
     or empty text has no words and fails the base rules; a null id is judged like any other but is
     never trusted. Without a ``threshold`` it is fitted on the trusted documents. Without trusted
     documents all ratios are 0. No rows in, no rows out.
+
+    All trusted documents are fitted on, however many. Their ids are stored, so that the planner
+    knows their size: a small table is broadcast, beyond that the texts are shuffled by id.
     """
     rows, back = shelve(docs, ["doc_id", "text"], NEW)
-    trusted = trusted_ids(labels, trusted_rows)
+    trusted = stored(trusted_ids(labels), "trusted")
     # one value for both uses, so that it is computed once
     learned = bucket_ratios(rows, trusted, buckets).select(
         F.struct("ratios", "folds").alias("learned")).scalar()

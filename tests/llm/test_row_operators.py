@@ -105,6 +105,14 @@ def test_quality_threshold_is_fitted_on_the_trusted_documents(spark):
     assert given.filter("kept").count() == 220
 
 
+def test_quality_rules_learn_from_every_trusted_document(spark):
+    labels = spark.range(20_050).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
+    assert quality.trusted_ids(labels.unionAll(labels)).count() == 20_050
+    docs = spark.range(20_050).selectExpr("id AS doc_id", "concat('w', id) AS text")
+    learned = quality.bucket_ratios(docs, quality.trusted_ids(labels), 10).first()
+    assert max(abs(r) for r in learned["ratios"]) < 1e-12  # all are trusted: no bucket differs
+
+
 def test_token_counts_are_the_library_s(spark):
     texts = [t for _, t in TEXTS] + ["it's <|endoftext|> done", "ΣΑΣ İstanbul \x1c\x85x", "é"]
     rows = token_counts(docs_of(spark, list(enumerate(texts))), VOCABULARY).collect()
