@@ -5,7 +5,7 @@ A document is keyed by ``sample_id``. Fitting looks at training rows only.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -15,8 +15,6 @@ from reviewloom.functions.columns import (
     lower_without_urls,
     mentions,
     ngrams,
-    run_grams,
-    word_runs,
     word_tokens,
 )
 
@@ -26,32 +24,57 @@ NGRAM_MAX = 2
 MIN_DF = 3
 MAX_DF = 0.95
 
+SLOTS = 1 << 14  # of the array in which terms are looked up; only its speed depends on it
+
+
+def documents(df: DataFrame, text: str, keep: Sequence[str] = ()) -> DataFrame:
+    """``(sample_id, keep..., _texts)``: one row per document with its texts, mostly one. This moves
+    each text once; all that follows looks at one row at a time."""
+    return df.groupBy("sample_id", *keep).agg(F.collect_list(text).alias("_texts"))
+
+
+def text_terms(text: Column, ngram_max: int) -> Column:
+    """All 1..n-grams of the normalised text. White space separates tokens in any amount, so it
+    need not be collapsed here."""
+    return ngrams(word_tokens(lower_without_urls(text)), ngram_max)
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
-def unfold_terms(
-    df: DataFrame, text: str, ngram_max: int, keep: Sequence[str] = ()
-) -> DataFrame:
-    """One row ``(sample_id, keep..., term)`` per occurrence of a 1..n-gram of the normalised
-    text. White space separates tokens in any amount, so it need not be collapsed here."""
-    tokens = word_tokens(lower_without_urls(F.coalesce(F.col(text), F.lit(""))))
-    cols = ["sample_id", *keep]
-    runs = df.select(*cols, tokens.alias("_t")).select(
-        *cols, F.explode(word_runs("_t", ngram_max)).alias("_run")
-    )
-    grams = runs.select(*cols, F.explode(run_grams("_run", ngram_max)).alias("term"))
-    return grams.filter(F.col("term").isNotNull())
+
+def run_lengths(items: Column, key: Callable[[Column], Column]) -> Column:
+    """``struct(item, n)`` for every run of equal keys in a sorted array, with its length."""
+    def runs(x: Column) -> Column:
+        size = F.size(x)
+        places = F.filter(
+            F.sequence(F.lit(0), size - 1),
+            lambda i: F.coalesce(key(F.get(x, i)) != key(F.get(x, i - 1)), F.lit(True)))
+        return bound(F.when(size > 0, places).otherwise(F.array().cast("array<int>")),
+                     lambda at: F.zip_with(
+                         at, F.slice(at, F.lit(2), F.size(at)),
+                         lambda a, b: F.struct(F.get(x, a).alias("item"),
+                                               (F.coalesce(b, size) - a).alias("n"))))
+
+    return bound(items, runs)
+
+
+def counted_terms(terms: Column) -> Column:
+    """``struct(item, n)`` for every term of an array."""
+    return run_lengths(F.sort_array(terms), lambda t: t)
 
 
 def term_counts(df: DataFrame, text: str = "review_text", ngram_max: int = NGRAM_MAX) -> DataFrame:
     """``(sample_id, term, tf)``.
 
-    The texts are partitioned by document before they unfold: that moves each text once, and
-    counting, weighting and normalising per document then need no further shuffle. Terms unfold
-    to several times the text.
+    Terms unfold to several times the text, so they are sorted and counted inside their document's
+    row; no table of terms is kept, shuffled or spilled.
     """
-    placed = df.select("sample_id", text).repartition("sample_id")
-    return unfold_terms(placed, text, ngram_max).groupBy("sample_id", "term").agg(
-        F.count(F.lit(1)).alias("tf")
-    )
+    terms = F.flatten(F.transform("_texts", lambda t: text_terms(t, ngram_max)))
+    cells = documents(df, text).select("sample_id", F.explode(counted_terms(terms)).alias("_c"))
+    return cells.select("sample_id", F.col("_c.item").alias("term"),
+                        F.col("_c.n").cast("long").alias("tf"))
 
 
 def doc_freq(counts: DataFrame) -> DataFrame:
@@ -67,8 +90,8 @@ def corpus_freq(df: DataFrame, text: str = "review_text", ngram_max: int = NGRAM
     A text gives its terms twice: all of them, and each once. Both are added up per term in the
     tasks that read the texts, so what is shuffled are terms with partial counts, never a text.
     """
-    tokens = word_tokens(lower_without_urls(F.coalesce(F.col(text), F.lit(""))))
-    twice = F.transform(F.array(ngrams(tokens, ngram_max)), lambda t: F.array(t, F.array_distinct(t)))
+    terms = text_terms(F.coalesce(F.col(text), F.lit("")), ngram_max)
+    twice = F.transform(F.array(terms), lambda t: F.array(t, F.array_distinct(t)))
     lists = df.select(F.posexplode(F.get(twice, F.lit(0))).alias("_once", "_terms"))
     return lists.select("_once", F.explode("_terms").alias("term")).groupBy("term").agg(
         F.sum("_once").alias("df"), F.count(F.when(F.col("_once") == 0, 1)).alias("total"))
@@ -106,6 +129,17 @@ def fit_vocab(
     return index_vocab(limit_vocab(prune(freq, n_docs, min_df, max_df), max_features), n_docs)
 
 
+def lookup_table(vocab: DataFrame) -> Column:
+    """The vocabulary as one value: an array of ``SLOTS`` arrays of ``struct(term_idx, idf, term)``,
+    in which a term lies at its hash."""
+    slots = vocab.groupBy(F.pmod(F.xxhash64("term"), F.lit(SLOTS)).cast("int").alias("slot")).agg(
+        F.collect_list(F.struct("term_idx", "idf", "term")).alias("terms"))
+    every = vocab.sparkSession.range(SLOTS).select(F.col("id").cast("int").alias("slot"))
+    filled = every.join(slots, "slot", "left")
+    whole = F.array_sort(F.collect_list(F.struct("slot", "terms")))
+    return filled.agg(F.transform(whole, lambda s: s["terms"]).alias("table")).scalar()
+
+
 def check_fit(n_docs: int, min_df: int = MIN_DF, max_df: float = MAX_DF) -> None:
     if max_df * n_docs < min_df:
         raise ValueError(f"{n_docs} training documents are too few for min_df={min_df}")
@@ -120,19 +154,32 @@ def tfidf_transform(
 ) -> DataFrame:
     """``(sample_id, term_idx, value)``: sub-linear TF times IDF, unit length per document.
 
-    The vocabulary holds at most ``max_features`` rows by construction, so it is broadcast.
-    A document's cells are bounded by the vocabulary, so normalising it is a small window.
+    The vocabulary holds at most ``max_features`` rows by construction. It reaches the rows as one
+    scalar, an array in which a term is looked up by hash. Terms are looked up, counted, weighted
+    and normalised inside their document's row, so no cell is shuffled, sorted or spilled.
     ``keep`` carries further columns, such as the split, along.
     """
-    placed = df.select("sample_id", text, *keep).repartition("sample_id")
-    cells = (
-        unfold_terms(placed, text, ngram_max, keep)
-        .join(F.broadcast(vocab.select("term", "term_idx", "idf")), "term")
-        .groupBy("sample_id", *keep, "term_idx", "idf")
-        .agg(((F.lit(1.0) + F.ln(F.count(F.lit(1)))) * F.col("idf")).alias("w"))
-    )
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(W.partitionBy("sample_id")))
-    return cells.select("sample_id", *keep, "term_idx", (F.col("w") / norm).alias("value"))
+    def hit(t: Column) -> Column:
+        slot = F.pmod(F.xxhash64(t), F.lit(SLOTS)).cast("int")
+        return F.get(F.filter(F.get("_table", slot), lambda v: v["term"] == t), F.lit(0))
+
+    known = F.flatten(F.transform("_texts", lambda t: F.filter(
+        F.transform(text_terms(t, ngram_max), hit), lambda v: v.isNotNull())))
+    counts = run_lengths(F.sort_array(known), lambda c: c["term_idx"])
+    weights = F.transform(counts, lambda c: F.struct(
+        c["item"]["term_idx"].alias("term_idx"),
+        ((F.lit(1.0) + F.ln(c["n"])) * c["item"]["idf"]).alias("w")))
+
+    def normalised(cells: Column) -> Column:
+        norm = F.sqrt(F.aggregate(cells, F.lit(0.0), lambda x, c: x + c["w"] * c["w"]))
+        return bound(norm, lambda d: F.transform(cells, lambda c: F.struct(
+            c["term_idx"].alias("term_idx"), (c["w"] / d).alias("value"))))
+
+    # a column of its own for the cells: unfolded in place, every row would carry the table
+    rows = documents(df, text, keep).withColumn("_table", lookup_table(vocab)).select(
+        "sample_id", *keep, bound(weights, normalised).alias("_cells"))
+    rows = rows.select("sample_id", *keep, F.explode("_cells").alias("_c"))
+    return rows.select("sample_id", *keep, "_c.term_idx", "_c.value")
 
 
 def to_vectors(cells: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

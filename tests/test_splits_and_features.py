@@ -1,3 +1,5 @@
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -115,6 +117,31 @@ def test_tfidf(spark):
         T.check_fit(3)
 
 
+def test_terms_are_counted_inside_their_row(spark):
+    """No table of terms or cells is aggregated, sorted or shuffled per document."""
+    train = docs(spark, TEXTS)
+    vocab = T.fit_vocab(train, min_df=2, max_df=0.8).localCheckpoint()
+    for out in (T.term_counts(train), T.tfidf_transform(train, vocab, keep=["split"])):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        above = plan[:plan.index("Generate")]
+        assert "Aggregate" not in above and "Window" not in above
+        assert plan.count("Aggregate [sample_id") == 1
+
+
+def test_texts_of_one_sample_are_one_document(spark):
+    df = spark.createDataFrame(
+        [("a", "b1 b1 b2"), ("a", "b2 b1"), ("c", None), ("d", "")], "sample_id string, review_text string")
+    got = {(r[0], r[1]): r[2] for r in T.term_counts(df).collect()}
+    assert got == {("a", "b1"): 3, ("a", "b2"): 2, ("a", "b1 b1"): 1, ("a", "b1 b2"): 1,
+                   ("a", "b2 b1"): 1}
+    vocab = spark.createDataFrame([("b1", 4, 1, 2.0), ("b2", 9, 1, 1.0)],
+                                  "term string, term_idx int, df long, idf double")
+    w = [(1 + math.log(3)) * 2.0, 1 + math.log(2)]
+    norm = math.sqrt(w[0] ** 2 + w[1] ** 2)
+    values = {r[1]: r[2] for r in T.tfidf_transform(df, vocab).collect()}
+    assert values == {4: pytest.approx(w[0] / norm), 9: pytest.approx(w[1] / norm)}
+
+
 def test_scaler(spark):
     meta = M.metadata(docs(spark, ["aa b!", "cc dd...", "E?"]))
     scaled = M.apply_scaler(meta, M.fit_scaler(meta)).toPandas()
