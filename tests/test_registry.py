@@ -46,3 +46,9 @@ def test_sample_is_of_three_thousand_reviews(spark):
     df = entry.queries()["sample_n"](spark, "/root/testdata/sf0.1")
     assert "review_id" in df.columns and df.count() == 3000
     assert "rv" in entry.oracle_sql()["sample_n"] and "LIMIT 3000" in entry.oracle_sql()["sample_n"]
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="test tables not there")
+def test_a_second_load_reads_the_texts_once(spark):
+    df = entry.queries()["insert_new"](spark, SF)
+    assert df.inputFiles() and not any("documents" in f for f in df.inputFiles())
