@@ -52,3 +52,11 @@ def test_sample_is_of_three_thousand_reviews(spark):
 def test_a_second_load_reads_the_texts_once(spark):
     df = entry.queries()["insert_new"](spark, SF)
     assert df.inputFiles() and not any("documents" in f for f in df.inputFiles())
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="test tables not there")
+def test_loads_are_written_small(spark):
+    from reviewloom.registry import views as V
+
+    files = V.warehouse(spark, SF)["reviews"].inputFiles()
+    assert files and all(".zstd." in f for f in files)
