@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from reviewloom.functions.columns import share
 from reviewloom.operators.audit import fingerprint
 from reviewloom.operators.meta_features import apply_scaler, fit_scaler, metadata
+from reviewloom.operators.tables import stored
 from reviewloom.operators.text_features import (
     MAX_FEATURES,
     NEGATIONS,
@@ -179,7 +180,7 @@ def build_features(
     check_fit(train.count())
     if dry_run:
         return split_distribution(splits)
-    raw_meta = metadata(splits, keep=SPLIT, drop_label_proxy=drop_label_proxy)
+    raw_meta = stored(metadata(splits, keep=SPLIT, drop_label_proxy=drop_label_proxy), "meta")
     features = [c for c in raw_meta.columns if c not in ("sample_id", "split")]
     save_model(
         fit_vocab(train, ngram_max=ngram_max, max_features=max_features),

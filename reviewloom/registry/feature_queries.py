@@ -8,6 +8,7 @@ from reviewloom.functions import columns as C
 from reviewloom.functions.columns import SPACE, WORD
 from reviewloom.operators import meta_features as M
 from reviewloom.operators import text_features as T
+from reviewloom.operators.tables import stored
 from reviewloom.plans import features as P
 from reviewloom.plans.splits import make_splits
 from reviewloom.registry import views as V
@@ -183,8 +184,14 @@ def scaler(spark, sf):
     return r6(M.fit_scaler(M.metadata(train_rows(spark, sf))))
 
 
+def raw_meta(df):
+    """Unscaled features as a table of their own: fitting and scaling read its narrow rows, so each
+    text is joined and measured once."""
+    return stored(M.metadata(df, keep=SPLIT), "meta")
+
+
 def scaled(spark, sf):
-    raw = M.metadata(splits(spark, sf), keep=SPLIT)
+    raw = raw_meta(splits(spark, sf))
     return r6(M.apply_scaler(raw, M.fit_scaler(raw.filter(F.col("split") == "train"))))
 
 
@@ -311,7 +318,7 @@ JOIN sc s3 ON s3.feature = 'star_rating'""",
 
 def families(spark, sf):
     x, df, _ = cells(spark, sf)
-    raw = M.metadata(df, keep=SPLIT)
+    raw = raw_meta(df)
     return {
         "tfidf": x,
         "meta": M.apply_scaler(raw, M.fit_scaler(raw.filter(F.col("split") == "train"))),

@@ -60,3 +60,14 @@ def test_loads_are_written_small(spark):
 
     files = V.warehouse(spark, SF)["reviews"].inputFiles()
     assert files and all(".zstd." in f for f in files)
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="test tables not there")
+def test_scaling_measures_the_texts_once(spark):
+    from compare import compare, connect
+
+    df = entry.queries()["apply_scaler"](spark, SF)
+    assert df.inputFiles() and not any(SF in f for f in df.inputFiles())
+    ok, text = compare(connect(SF), spark, SF, "apply_scaler", entry.queries()["apply_scaler"],
+                       entry.oracle_sql()["apply_scaler"])
+    assert ok, text
