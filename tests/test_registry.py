@@ -71,3 +71,27 @@ def test_scaling_measures_the_texts_once(spark):
     ok, text = compare(connect(SF), spark, SF, "apply_scaler", entry.queries()["apply_scaler"],
                        entry.oracle_sql()["apply_scaler"])
     assert ok, text
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="test tables not there")
+def test_orders_meet_no_texts(spark):
+    from reviewloom.registry import views as V
+
+    files = V.reviews(spark, SF).inputFiles()
+    assert any("documents" in f for f in files) and not any("orders" in f for f in files)
+
+
+def test_a_platform_without_rows_is_an_empty_table(spark, tmp_path):
+    from reviewloom.registry import views as V
+
+    for name in ("documents", "orders", "labels"):
+        spark.createDataFrame([], V.TABLES[name]).write.parquet(f"{tmp_path}/{name}.parquet")
+    for path, _ in V.load_files(spark, str(tmp_path), f"{tmp_path}/in"):
+        assert spark.read.parquet(path).isEmpty()
+
+
+def test_splits_are_written_small(spark, tmp_path):
+    from reviewloom.sources.writers import write_splits
+
+    write_splits(spark.createDataFrame([("train", 1)], "split string, n int"), f"{tmp_path}/s")
+    assert all(".zstd." in f for f in spark.read.parquet(f"{tmp_path}/s").inputFiles())
