@@ -6,6 +6,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 import xxhash
 from tokenizers import Tokenizer
@@ -132,6 +133,24 @@ def test_every_latin_character_is_cut_as_by_the_library():
         assert length == len(library.encode(text, add_special_tokens=False).ids), repr(text)
 
 
+def test_ids_are_joined_from_pieces_as_by_the_library(monkeypatch):
+    library = Tokenizer.from_file(VOCABULARY)
+    texts = ["", "\n x", "—a “q” b “q” c日本 日本語!!", "it's <|endoftext|> done", "a</w>b </w> ##!!",
+             "ΣΑΣ İstanbul \x1c\x85x", "one two, two; one's", "one “two” three"] * 2
+    want = [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+            for t in texts]
+    encoder = Encoder(read_vocabulary(VOCABULARY))
+    assert [*encoder.ids(texts)] == want
+    monkeypatch.setattr("reviewloom.llm.bpe.MOST_RECENT", 3)  # forgets after each chunk
+    monkeypatch.setattr("reviewloom.llm.bpe.CHUNK", 10)
+    encoder = Encoder(read_vocabulary(VOCABULARY), {"one": 1})
+    assert [*encoder.ids(texts)] == want
+    assert [*encoder.lengths(texts)] == [len(w) // 4 for w in want]
+    encoder = Encoder(read_vocabulary(VOCABULARY))
+    encoder.id_bytes[:] = 1  # do not add up: the library's word numbers are asked
+    assert [*encoder.ids(texts)] == want
+
+
 def test_urls(spark):
     cases = {
         None: ("", "", None, "allow"), "": ("", "", None, "allow"),
