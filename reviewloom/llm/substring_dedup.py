@@ -114,11 +114,19 @@ def _chunks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[list[tuple
 
 
 def _repeats(ids: np.ndarray, at: np.ndarray, docs: np.ndarray, window: int) -> np.ndarray:
-    """Which windows ``ids[at:at + window]`` are also found under a smaller document. Sorted by a
-    hash of their words, then document; neighbours are compared word by word."""
+    """Which windows ``ids[at:at + window]`` are also found under a smaller document. Those that share
+    a hash of their words with another one are sorted by it, then document; neighbours are compared
+    word by word."""
     value = np.zeros(len(at), "uint64")
     for k in range(window):
         value = (value ^ (value >> np.uint64(29))) * MIX + ids[at + k].astype("uint64")
+    out = np.zeros(len(at), bool)
+    order = np.argsort(value)
+    again = value[order[1:]] == value[order[:-1]]
+    shared = order[np.append(again, False) | np.append(False, again)]
+    if len(shared) == 0:
+        return out
+    at, docs, value = at[shared], docs[shared], value[shared]
     order = np.lexsort((docs, value))
     while True:
         at_, docs_, value_ = at[order], docs[order], value[order]
@@ -137,30 +145,35 @@ def _repeats(ids: np.ndarray, at: np.ndarray, docs: np.ndarray, window: int) ->
         value[order] = ranks.astype("uint64")
     begins = np.flatnonzero(np.concatenate(([True], ~same)))
     least = np.repeat(docs_[begins], np.diff(np.concatenate((begins, [len(at)]))))
-    out = np.empty(len(at), bool)
-    out[order] = docs_ > least
+    out[shared[order]] = docs_ > least
     return out
 
 
+def numbered_words(lines: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The words of lines that all end with a line feed, as numbers, and how many each line has."""
+    data = np.frombuffer(lines, "uint8").copy()
+    ends = np.flatnonzero((data == ord(" ")) | (data == ord("\n")))
+    lengths = np.diff(np.flatnonzero(data[ends] == ord("\n")), prepend=-1)
+    data[ends] = ord(" ")  # each word goes with one blank
+    starts = np.append(0, ends + 1)
+    words = pa.Array.from_buffers(
+        pa.large_binary(), len(ends), [None, pa.py_buffer(starts), pa.py_buffer(data)])
+    return words.dictionary_encode().indices.to_numpy(), lengths
+
+
 def bucket_spans(blocks: pa.Table, window: int) -> pa.Table:
     """Spans of words, of all super-k-mers in a bucket, that lie in windows of smaller documents."""
     unpack = zstandard.ZstdDecompressor().decompress
-    strings, ids, marks, starts = [], [], [], []
+    texts, ids, marks, starts = [], [], [], []
     for s, i, m, a in zip(*(blocks.column(c).to_pylist() for c in BLOCK.names[1:]), strict=True):
-        strings += unpack(s).split(b"\n")
+        texts += [unpack(s), b"\n"]
         ids.append(np.cumsum(np.frombuffer(unpack(i), "<i8")))
         marks.append(np.frombuffer(m, "<i4"))
         starts.append(np.frombuffer(unpack(a), "<i4"))
     ids, marks, starts = (np.concatenate(x) for x in (ids, marks, starts))
-    number: dict[bytes, int] = {}
-    words, lengths = [], []
-    for s in strings:
-        split = s.split(b" ")
-        lengths.append(len(split))
-        words.extend([number.setdefault(w, len(number)) for w in split])
-    words, lengths = np.array(words, "int32"), np.array(lengths)
+    words, lengths = numbered_words(b"".join(texts))
     counts = lengths - window + 1
-    owner = np.repeat(np.arange(len(strings)), counts)
+    owner = np.repeat(np.arange(len(lengths)), counts)
     inside = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
     at = np.repeat(np.cumsum(lengths) - lengths, counts) + inside
     hit = np.flatnonzero(_repeats(words, at, ids[owner], window))

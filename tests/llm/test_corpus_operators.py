@@ -397,3 +397,11 @@ def test_pipeline(spark, tmp_path):
     assert "[secret]" in text.text and text.n_chars == len(text.text)
     out = corpus_pipeline.run(spark, folder).collect()
     assert {r.doc_id for r in out} == {1, 3, 7} and len({r.sequence_id for r in out}) == 1
+
+
+def test_words_are_numbered_by_line():
+    from reviewloom.llm.substring_dedup import numbered_words
+
+    words, lengths = numbered_words("a é\na\né b\xa0 aa a\n".encode())
+    assert lengths.tolist() == [2, 1, 4]
+    assert words.tolist() == [0, 1, 0, 1, 2, 3, 0]
