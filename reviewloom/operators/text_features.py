@@ -5,8 +5,9 @@ A document is keyed by ``sample_id``. Fitting looks at training rows only.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -17,6 +18,8 @@ from reviewloom.functions.columns import (
     ngrams,
     word_tokens,
 )
+from reviewloom.operators.batch_terms import term_freq
+from reviewloom.session import ship_package
 
 # Fitting limits.
 MAX_FEATURES = 15_000
@@ -87,14 +90,21 @@ def doc_freq(counts: DataFrame) -> DataFrame:
 def corpus_freq(df: DataFrame, text: str = "review_text", ngram_max: int = NGRAM_MAX) -> DataFrame:
     """``(term, df, total)`` straight from texts, without counting per document first.
 
-    A text gives its terms twice: all of them, and each once. Both are added up per term in the
-    tasks that read the texts, so what is shuffled are terms with partial counts, never a text.
+    Both numbers are counted in the tasks that read the texts, an Arrow batch at a time, so a term is
+    one row per batch and not one per occurrence. What is shuffled are partial counts, never a text.
     """
-    terms = text_terms(F.coalesce(F.col(text), F.lit("")), ngram_max)
-    twice = F.transform(F.array(terms), lambda t: F.array(t, F.array_distinct(t)))
-    lists = df.select(F.posexplode(F.get(twice, F.lit(0))).alias("_once", "_terms"))
-    return lists.select("_once", F.explode("_terms").alias("term")).groupBy("term").agg(
-        F.sum("_once").alias("df"), F.count(F.when(F.col("_once") == 0, 1)).alias("total"))
+    ship_package(df.sparkSession)
+    words = word_tokens(lower_without_urls(F.coalesce(F.col(text), F.lit(""))))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from term_freq(batch.column(0), ngram_max)
+
+    counts = df.select(words.alias("words")).mapInArrow(count, "term string, df long, total long")
+    # most terms are rare: adding them up once more before they are dealt would fill each task's
+    # memory with them and hardly leave fewer
+    return counts.repartition("term").groupBy("term").agg(
+        F.sum("df").alias("df"), F.sum("total").alias("total"))
 
 
 def prune(freq: DataFrame, n_docs: Column, min_df: int = MIN_DF, max_df: float = MAX_DF):

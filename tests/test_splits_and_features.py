@@ -1,9 +1,12 @@
 import math
+from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from reviewloom.operators import batch_terms
 from reviewloom.operators import meta_features as M
 from reviewloom.operators import text_features as T
 from reviewloom.operators.sampling import expand_copies, oversample, sample_n
@@ -241,3 +244,36 @@ def test_frequencies_without_moving_texts(spark):
     plan = T.corpus_freq(docs)._jdf.queryExecution().executedPlan().toString()
     moved = [line for line in plan.split("\n") if "Exchange" in line]
     assert len(moved) == 1 and "hashpartitioning(term" in moved[0]
+
+
+def test_terms_are_counted_before_they_leave_the_task(spark):
+    """A task gives a term once for all its texts at hand, and holds no table of terms."""
+    plan = T.corpus_freq(docs(spark, TEXTS))._jdf.queryExecution().executedPlan().toString()
+    above, below = plan.split("Exchange")
+    assert "HashAggregate" in above
+    assert "Generate" not in plan and "HashAggregate" not in below
+    heavy = docs(spark, ["again and again " * 500] * 40).coalesce(1)
+    assert {r[0]: r[1:] for r in T.corpus_freq(heavy).collect()} == {
+        "again": (40, 40_000), "again again": (40, 40 * 499), "again and": (40, 20_000),
+        "and": (40, 20_000), "and again": (40, 20_000)}
+
+
+@pytest.mark.parametrize("words, n_rows", [(1 << 22, 1 << 18), (7, 100), (100, 2), (1, 1)])
+def test_frequencies_of_parts_of_a_batch(monkeypatch, words, n_rows):
+    monkeypatch.setattr(batch_terms, "WORDS", words)
+    monkeypatch.setattr(batch_terms, "ROWS", n_rows)
+    texts = [["a1", "b1", "a1", "b1"], [], ["b1"], ["a1", "b1"] * 9, ["ß", "a1", "ß"], [], ["a1"]]
+    for n in (1, 2, 3, 4):
+        df, total = Counter(), Counter()
+        for t in texts:
+            grams = [" ".join(t[i:i + k]) for k in range(1, n + 1) for i in range(len(t) - k + 1)]
+            total.update(grams)
+            df.update(set(grams))
+        got, seen = Counter(), Counter()
+        for batch in batch_terms.term_freq(pa.array([["x1"], *texts]).slice(1), n):
+            for term, d, t in zip(*(c.to_pylist() for c in batch.columns)):
+                got[term] += d
+                seen[term] += t
+        assert got == df and seen == total
+    assert list(batch_terms.term_freq(pa.array([[], []], pa.list_(pa.string())), 2)) == []
+    assert list(batch_terms.term_freq(pa.array([], pa.list_(pa.string())), 2)) == []
