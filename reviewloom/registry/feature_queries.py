@@ -412,11 +412,15 @@ def built(spark, sf):
     return r6(report)
 
 
+REPORT_COLUMNS = ["id", "review_id", "review_date", "review_text", "review_length"]
+
+
 def report(spark, sf):
-    df = splits(spark, sf)
-    x, _, vocab = cells(spark, sf)
+    """All parts read one stored table of reviews and one stored vocabulary."""
+    df = make_splits(V.stored_reviews(spark, sf, REPORT_COLUMNS), stratified=False)
+    vocab = stored(T.fit_vocab(df.filter(F.col("split") == "train"), max_features=K), "vocab")
     return r6(P.feature_report(df, {
-        "tfidf": x,
+        "tfidf": T.tfidf_transform(df, vocab, keep=SPLIT),
         "lexicon": T.lexicon_sentiment(df, lexicon(spark, sf), keep=SPLIT, negations=NEGATIONS),
         "aspects": T.aspects(df, DICTIONARY, keep=SPLIT),
     }, vocab))

@@ -95,3 +95,26 @@ def test_splits_are_written_small(spark, tmp_path):
 
     write_splits(spark.createDataFrame([("train", 1)], "split string, n int"), f"{tmp_path}/s")
     assert all(".zstd." in f for f in spark.read.parquet(f"{tmp_path}/s").inputFiles())
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="test tables not there")
+def test_branches_of_the_report_read_one_table(spark):
+    files = entry.queries()["feature_report"](spark, SF).inputFiles()
+    for name in ("documents", "labels", "orders", "facts"):
+        assert files and not any(name in f for f in files)
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="test tables not there")
+@pytest.mark.parametrize("most, join", [(1 << 20, "BroadcastHashJoin"), (10, "ShuffledHashJoin")])
+def test_order_facts_are_in_the_driver_only_if_few(spark, monkeypatch, most, join):
+    from compare import compare, connect
+
+    from reviewloom.operators import tables
+    from reviewloom.registry import views as V
+
+    monkeypatch.setattr(tables, "BROADCAST_ROWS", most)
+    reviews = V.reviews(spark, SF, tables.off_driver)
+    assert join in reviews._jdf.queryExecution().executedPlan().toString()
+    ok, text = compare(connect(SF), spark, SF, "feature_report", entry.queries()["feature_report"],
+                       entry.oracle_sql()["feature_report"])
+    assert ok, text
